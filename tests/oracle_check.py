@@ -31,8 +31,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _family(dtype) -> str:
+def _family(dtype, values=None) -> str:
     k = getattr(dtype, "kind", "O")
+    if k == "O" and values is not None:
+        first = next((v for v in values if v is not None), None)
+        if first is not None and hasattr(first, "isoformat") and not hasattr(first, "hour"):
+            return "datetime"  # datetime.date from Spark, datetime64 from DuckDB
     if k in "iu":
         return "int"
     if k == "f":
@@ -77,7 +81,7 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame, digits: int = 9) ->
     if len(spark_pdf) != len(duck_pdf):
         problems.append(f"row count spark={len(spark_pdf)} duck={len(duck_pdf)}")
     for c in spark_pdf.columns:
-        fs, fd = _family(spark_pdf[c].dtype), _family(duck_pdf[c].dtype)
+        fs, fd = _family(spark_pdf[c].dtype, spark_pdf[c]), _family(duck_pdf[c].dtype, duck_pdf[c])
         nullable_int = {fs, fd} == {"int", "float"} and (spark_pdf[c].isna().any() or duck_pdf[c].isna().any())
         if fs != fd and not nullable_int and not (len(spark_pdf) == 0 or len(duck_pdf) == 0):
             problems.append(f"type of {c}: spark={spark_pdf[c].dtype} duck={duck_pdf[c].dtype}")

@@ -104,3 +104,24 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scaled_customers(spark: SparkSession, sf_dir: str, method: str = "standard") -> DataFrame:
     from ..operators.scale import scale
     return scale(customers(spark, sf_dir), list(FEATURES), method)
+
+
+# -- daily panels ---------------------------------------------------------------
+def panel_sql(keys=(), src: str = "sales_lines", value: str = "CAST(sum(sales) AS DOUBLE)", out: str = "panel",
+              test_days: int = 31, val_days: int = 31) -> str:
+    """DuckDB text of ``forecast.panel.build_panel``: daily sums per key, gap
+    filled with 0, split by the last days, time index per key."""
+    k = ", ".join(keys)
+    kc = (k + ", ") if keys else ""
+    using = f"USING ({k}, day)" if keys else "USING (day)"
+    st_join = f"JOIN (SELECT {k}, min(day) AS start FROM {out}_split GROUP BY {k}) st USING ({k})" if keys \
+        else f", (SELECT min(day) AS start FROM {out}_split) st"
+    return f"""{out}_daily AS (SELECT {kc}CAST(invoice_date AS DATE) AS day, {value} AS sales
+               FROM {src} GROUP BY {kc}CAST(invoice_date AS DATE)),
+{out}_bounds AS (SELECT {kc}min(day) AS lo, max(day) AS hi FROM {out}_daily {"GROUP BY " + k if keys else ""}),
+{out}_cal AS (SELECT {kc}CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM {out}_bounds),
+{out}_filled AS (SELECT {kc}day, COALESCE(d.sales, 0) AS sales FROM {out}_cal LEFT JOIN {out}_daily d {using}),
+{out}_sb AS (SELECT max(day) - {test_days + val_days} AS train_end, max(day) - {test_days} AS val_end FROM {out}_filled),
+{out}_split AS (SELECT f.*, CASE WHEN day <= train_end THEN 'train' WHEN day <= val_end THEN 'validation'
+                ELSE 'test' END AS split FROM {out}_filled f, {out}_sb),
+{out} AS (SELECT s.*, CAST(datediff('day', st.start, s.day) AS INTEGER) AS t FROM {out}_split s {st_join})"""

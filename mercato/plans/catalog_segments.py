@@ -265,3 +265,45 @@ FROM metrics""", *METRICS_SQL))
 def g16_metric_radar(spark, sf_dir):
     r = Cmp.metric_radar(_metric_long(spark, sf_dir), ["calinski_harabasz", "davies_bouldin"])
     return _round(r, ["calinski_harabasz_norm", "davies_bouldin_norm"])
+
+
+# -- density, hierarchical, comparison (invariant checks) ----------------------
+@register("g2_dbscan_segments", "G2")
+def g2_dbscan_segments(spark, sf_dir):
+    from ..operators.cluster.dbscan import dbscan
+    return dbscan(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", eps=0.7, min_samples=10)
+
+
+@register("g3_ward_segments", "G3")
+def g3_ward_segments(spark, sf_dir):
+    from ..operators.cluster.ward import ward
+    lab, _ = ward(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", k=4)
+    return lab
+
+
+@register("g18_dendrogram_merges", "G18")
+def g18_dendrogram_merges(spark, sf_dir):
+    from ..operators.cluster.ward import ward
+    _, log = ward(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", k=4)
+    return log
+
+
+@register("g13_compare_clusterers", "G13, G5, G7, G8, G9, G11, W11")
+def g13_compare_clusterers(spark, sf_dir):
+    from ..operators.cluster.segment import compare_clusterers
+    return compare_clusterers(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", k=4)
+
+
+@register("g19_segment_view", "G19, G12")
+def g19_segment_view(spark, sf_dir):
+    from ..operators.cluster.segment import segment
+    return segment(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", "gmm", k=4)
+
+
+@register("h9_cluster_scatter", "H9, G1")
+def h9_cluster_scatter(spark, sf_dir):
+    from ..operators.dist import cluster_scatter
+    z = V.scaled_customers(spark, sf_dir)
+    lab, model = M.kmeans(z, FEATS, k=4, seed=42)
+    cents = spark.createDataFrame(M.centers(model, FEATS), ", ".join(["cluster int"] + [f"{f} double" for f in FEATS]))
+    return cluster_scatter(lab, cents, FEATS[0], FEATS[1], "customer_id")

@@ -26,7 +26,7 @@ class Query:
 
 _QUERIES: dict[str, Query] = {}
 
-MODULES = ("catalog_lines", "catalog_explore", "catalog_aggregates", "catalog_series",
+MODULES = ("catalog_lines", "catalog_explore", "catalog_aggregates", "catalog_series", "catalog_sinks",
            "catalog_distributions", "catalog_forecast", "catalog_segments")
 
 

@@ -1,0 +1 @@
+"""Streaming entry points: the batch operators applied to file streams."""

@@ -57,6 +57,8 @@ def dbscan(df: DataFrame, feats: Sequence[str], key: str, eps: float = 0.7, min_
     pts = df.select(key, *[F.col(f).cast("double").alias(f) for f in feats]).dropna()
     # 1. identical points → one weighted point, identified by its smallest key
     uniq = pts.groupBy(*feats).agg(F.count(F.lit(1)).alias("_w"), F.min(key).alias("_pid"))
+    checkpoint_dir(spark)
+    uniq = uniq.checkpoint(eager=True)  # read by the grid choice, both cell passes and the final mapping
     gd = _grid_dims(uniq, feats, grid_dims)
     cells = [F.floor(F.col(f) / F.lit(eps)).cast("long").alias(f"_c{i}") for i, f in enumerate(gd)]
     base = uniq.select("_pid", "_w", *feats, *cells)
@@ -83,7 +85,6 @@ def dbscan(df: DataFrame, feats: Sequence[str], key: str, eps: float = 0.7, min_
         return pd.DataFrame({"_pid": own["_pid"].to_numpy(), "_core": cnt >= min_samples})
 
     core = halo.groupBy(*tcols).applyInPandas(count_fn, "_pid long, _core boolean")
-    checkpoint_dir(spark)
     core = core.checkpoint(eager=True)
     flagged = halo.join(core, "_pid")
 

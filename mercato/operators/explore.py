@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .rank import quantile_table
+from .rank import quantile_table, value_counts
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -36,15 +36,22 @@ def head(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> DataF
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column (E3),
-    exact quantiles (``DataFrame.summary`` would give approximate ones)."""
+    exact quantiles (``DataFrame.summary`` would give approximate ones).
+
+    The input is read once, into a value-count table; the moments and the
+    quantiles are both computed from it."""
     cols = list(cols or numeric_columns(df))
-    casted = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = casted.unpivot([], cols, "column", "value")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+    counts = value_counts(df, cols)
+    first = counts.groupBy("column").agg(
+        F.sum("_cnt").alias("count"),
+        (F.sum(F.col("value") * F.col("_cnt")) / F.sum("_cnt")).alias("mean"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = quantile_table(casted, cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
-    return moments.join(qs, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    spread = counts.join(first.select("column", "mean", "count"), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("_cnt") * (F.col("value") - F.col("mean")) ** 2),
+                            F.max("count") - 1)).alias("std"))
+    qs = quantile_table(df, cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"], counts=counts)
+    return first.join(spread, "column").join(qs, "column", "left") \
+        .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def numeric_to_double(df: DataFrame) -> DataFrame:

@@ -65,11 +65,12 @@ def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by:
     all rows is still spread over many slices. Ties in ``order`` are broken
     arbitrarily but consistently.
 
-    The input is read twice (rows and slice totals). When its order column is
-    not a deterministic function of the source (e.g. doubles produced by an
-    aggregate, whose last bits depend on merge order), pass ``stable=True``:
-    the input is then written once with a reliable ``checkpoint`` into
-    ``spark.checkpoint.dir`` and both reads see the same values.
+    The input is read more than once (slice boundaries, rows, slice
+    totals). When its order column is not a deterministic function of the
+    source (e.g. doubles produced by an aggregate, whose last bits depend on
+    merge order), pass ``stable=True``: the input is then written once with a
+    reliable ``checkpoint`` into ``spark.checkpoint.dir`` and every read sees
+    the same values.
     """
     by, order = list(by), list(order)
     if stable:
@@ -85,12 +86,11 @@ def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by:
         .withColumn("_slice", F.col("_slice").cast("int"))
     in_slice = Window.partitionBy(*by, "_slice")
     local = sliced.withColumn("_local_incl", F.sum("_w").over(
-        in_slice.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
-        .withColumn("_slice_total", F.sum("_w").over(in_slice))
-    # Slice totals are read off the windowed rows themselves: both consumers
-    # of ``local`` then share one exchange, so a row is counted in the slice
-    # its running total was computed in even if upstream doubles wobble.
-    slices = local.groupBy(*by, "_slice").agg(F.max("_slice_total").alias("_slice_total"))
+        in_slice.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # One row per (group, slice), combined map-side; the offsets table is as
+    # small as groups × slices and is broadcast after a bounded count, so the
+    # windowed rows are joined in place without another shuffle.
+    slices = sliced.groupBy(*by, "_slice").agg(F.sum("_w").alias("_slice_total"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     offsets = slices.select(
@@ -98,9 +98,10 @@ def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by:
         F.coalesce(F.sum("_slice_total").over(before), F.lit(0)).alias("_offset"),
         F.sum("_slice_total").over(whole).alias("group_total"),
     )
-    return local.join(offsets, on=[*by, "_slice"]) \
+    from .joins import broadcast_if_small
+    return local.join(broadcast_if_small(offsets, 200_000), on=[*by, "_slice"]) \
         .withColumn("cum_before", F.col("_offset") + F.col("_local_incl") - F.col("_w")) \
-        .drop("_slice", "_local_incl", "_slice_total", "_offset", "_w", "_key")
+        .drop("_slice", "_local_incl", "_offset", "_w", "_key")
 
 
 def unpivot_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
@@ -111,16 +112,32 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     return casted.unpivot(list(by), cols, name, value)
 
 
+def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), materialise: bool = True) -> DataFrame:
+    """``(by…, column, value, _cnt)``: how often each non-NULL value occurs.
+
+    One pass over the input with map-side combining. The table is written
+    once with a reliable checkpoint, so every later use (slice boundaries,
+    running totals, moments) reads it instead of recomputing the input."""
+    long = unpivot_numeric(df, cols, by).where(F.col("value").isNotNull())
+    counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_cnt"))
+    if materialise:
+        from ..session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
+    return counts
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
     (pandas ``quantile``, DuckDB ``quantile_cont``), NULLs ignored.
 
-    Returns ``(by…, column, prob, value)``.
+    Returns ``(by…, column, prob, value)``. ``counts`` may pass an existing
+    ``value_counts`` table of the same columns and groups.
     """
     by = list(by)
-    long = unpivot_numeric(df, cols, by).where(F.col("value").isNotNull())
-    counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_cnt"))
+    if counts is None:
+        counts = value_counts(df, cols, by)
     ranked = running_total(counts, "_cnt", ["value"], by=[*by, "column"])
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     h = (F.col("group_total") - 1) * F.col("prob")
@@ -142,10 +159,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                   names: Sequence[str] | None = None) -> DataFrame:
+                   names: Sequence[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Wide form: one row per ``(by…, column)``, one column per probability."""
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    long = exact_quantiles(df, cols, probs, by)
+    long = exact_quantiles(df, cols, probs, by, counts=counts)
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(nm) for p, nm in zip(probs, names)]
     return long.groupBy(*by, "column").agg(*aggs)
 

@@ -160,7 +160,7 @@ def g1_kmeans_segments(spark, sf_dir):
 
 @register("g4_gmm_segments", "G4, J1")
 def g4_gmm_segments(spark, sf_dir):
-    z = V.scaled_customers(spark, sf_dir)
+    z = V.scaled_customers(spark, sf_dir, materialise=True)
     lab, _ = M.gmm(z, FEATS, k=4, seed=42)
     return M.relabel(lab, "cluster", "total_spent").select("customer_id", "cluster")
 
@@ -175,7 +175,7 @@ def g12_pca_projection(spark, sf_dir):
 
 @register("g10_elbow", "G10")
 def g10_elbow(spark, sf_dir):
-    z = V.scaled_customers(spark, sf_dir).cache()
+    z = V.scaled_customers(spark, sf_dir, materialise=True)
     rows = []
     for k in range(1, 11):
         if k == 1:
@@ -184,7 +184,6 @@ def g10_elbow(spark, sf_dir):
             _, model = M.kmeans(z, FEATS, k=k, seed=42)
             val = model.summary.trainingCost
         rows.append((k, float(val)))
-    z.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
@@ -194,7 +193,7 @@ LABELLINGS = {"by_spend": "total_spent, customer_id", "by_recency": "recency_day
 
 
 def _metric_long(spark, sf_dir):
-    z = V.scaled_customers(spark, sf_dir)
+    z = V.scaled_customers(spark, sf_dir, materialise=True)
     out = None
     for name, order in LABELLINGS.items():
         lab = rank_labels(z, 4, [c.strip() for c in order.split(",")])
@@ -271,39 +270,39 @@ def g16_metric_radar(spark, sf_dir):
 @register("g2_dbscan_segments", "G2")
 def g2_dbscan_segments(spark, sf_dir):
     from ..operators.cluster.dbscan import dbscan
-    return dbscan(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", eps=0.7, min_samples=10)
+    return dbscan(V.scaled_customers(spark, sf_dir, materialise=True), FEATS, "customer_id", eps=0.7, min_samples=10)
 
 
 @register("g3_ward_segments", "G3")
 def g3_ward_segments(spark, sf_dir):
     from ..operators.cluster.ward import ward
-    lab, _ = ward(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", k=4)
+    lab, _ = ward(V.scaled_customers(spark, sf_dir, materialise=True), FEATS, "customer_id", k=4)
     return lab
 
 
 @register("g18_dendrogram_merges", "G18")
 def g18_dendrogram_merges(spark, sf_dir):
     from ..operators.cluster.ward import ward
-    _, log = ward(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", k=4)
+    _, log = ward(V.scaled_customers(spark, sf_dir, materialise=True), FEATS, "customer_id", k=4)
     return log
 
 
 @register("g13_compare_clusterers", "G13, G5, G7, G8, G9, G11, W11")
 def g13_compare_clusterers(spark, sf_dir):
     from ..operators.cluster.segment import compare_clusterers
-    return compare_clusterers(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", k=4)
+    return compare_clusterers(V.scaled_customers(spark, sf_dir, materialise=True), FEATS, "customer_id", k=4)
 
 
 @register("g19_segment_view", "G19, G12")
 def g19_segment_view(spark, sf_dir):
     from ..operators.cluster.segment import segment
-    return segment(V.scaled_customers(spark, sf_dir), FEATS, "customer_id", "gmm", k=4)
+    return segment(V.scaled_customers(spark, sf_dir, materialise=True), FEATS, "customer_id", "gmm", k=4)
 
 
 @register("h9_cluster_scatter", "H9, G1")
 def h9_cluster_scatter(spark, sf_dir):
     from ..operators.dist import cluster_scatter
-    z = V.scaled_customers(spark, sf_dir)
+    z = V.scaled_customers(spark, sf_dir, materialise=True)
     lab, model = M.kmeans(z, FEATS, k=4, seed=42)
     cents = spark.createDataFrame(M.centers(model, FEATS), ", ".join(["cluster int"] + [f"{f} double" for f in FEATS]))
     return cluster_scatter(lab, cents, FEATS[0], FEATS[1], "customer_id")

@@ -13,7 +13,9 @@ from . import views as V
 def segments(spark: SparkSession, sf_dir: str, k: int = 4, seed: int = 42) -> DataFrame:
     """customer_id, raw features, cluster (K-Means on standardised features,
     clusters numbered by descending mean spend)."""
-    raw = V.customers(spark, sf_dir)
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    raw = V.customers(spark, sf_dir).checkpoint(eager=True)  # read by every K-Means pass
     feats = list(V.FEATURES)
     z = raw.select("customer_id", *[F.col(f).alias(f"z_{f}") for f in feats])
     from ..operators.scale import scale

@@ -101,9 +101,17 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_features(clean_customers(spark, sf_dir))
 
 
-def scaled_customers(spark: SparkSession, sf_dir: str, method: str = "standard") -> DataFrame:
+def scaled_customers(spark: SparkSession, sf_dir: str, method: str = "standard", materialise: bool = False) -> DataFrame:
+    """Customers with standardised features. ``materialise`` writes the
+    table once (reliable checkpoint) for iterative consumers such as the
+    clusterers, which would otherwise rebuild it from the lines each pass."""
     from ..operators.scale import scale
-    return scale(customers(spark, sf_dir), list(FEATURES), method)
+    from ..session import checkpoint_dir
+    out = scale(customers(spark, sf_dir), list(FEATURES), method)
+    if materialise:
+        checkpoint_dir(spark)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 # -- daily panels ---------------------------------------------------------------

@@ -29,6 +29,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-split scan as many tasks as the cluster has cores.
+
+    A file written as a single row group is read by one task, and everything
+    up to the first exchange (the broadcast joins and projections of the
+    line view) would then run in that task. A scan that already has enough
+    splits, as any large table does, is left as it is."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def row_key(*cols: Column) -> Column:
     """Deterministic hex key of a row, identical in Spark and DuckDB."""
     return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))
@@ -41,22 +52,25 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer dimension is enriched with the nation name first (nation is the
     fixed 25-row TPC-H table, broadcast), orders pick up the country on
     ``custkey``, lineitem meets orders on ``orderkey`` and then part on
-    ``partkey``. Whether customer or part get broadcast is left to AQE, which
-    checks their runtime size against ``autoBroadcastJoinThreshold``.
+    ``partkey``. A dimension is broadcast only after a bounded count shows
+    it is small (``operators.joins.broadcast_if_small``); lineitem never is.
     """
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                                 "l_quantity", "l_extendedprice", "l_returnflag"])
+    li = spread(read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                                        "l_quantity", "l_extendedprice", "l_returnflag"]))
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
 
+    from ..operators.joins import broadcast_if_small
     cust_country = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey) \
         .select("c_custkey", "n_name")
-    order_country = orders.join(cust_country, orders.o_custkey == cust_country.c_custkey) \
+    order_country = orders.join(broadcast_if_small(cust_country), orders.o_custkey == cust_country.c_custkey) \
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
-    lines = li.join(order_country, li.l_orderkey == order_country.o_orderkey) \
-        .join(part, li.l_partkey == part.p_partkey)
+    # lineitem is only ever the streamed side; each dimension is broadcast
+    # when its counted size is within bound, else hashed per task.
+    lines = li.join(broadcast_if_small(order_country), li.l_orderkey == order_country.o_orderkey) \
+        .join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
 
     is_return = F.col("l_returnflag") == "R"
     price = F.col("l_extendedprice").cast("decimal(18,2)")

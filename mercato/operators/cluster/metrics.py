@@ -108,7 +108,7 @@ def _silhouette_partition(sample_x: np.ndarray, sample_y: np.ndarray, feats: lis
                     own = y[lo + i]
                     j = int(np.nonzero(labels == own)[0][0])
                     n_own = sizes[own]
-                    if n_own <= 1:
+                    if n_own <= 1 or len(labels) < 2:
                         s_out[lo + i] = 0.0
                         continue
                     a = sums[i, j] / (n_own - 1)

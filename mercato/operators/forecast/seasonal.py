@@ -34,7 +34,10 @@ def _design(t: np.ndarray, t_max: float, changepoints: np.ndarray, weekly: int,
 
 def forecast_seasonal(panel: DataFrame, keys: Sequence[str] = (), y: str = "sales", t: str = "t",
                       n_changepoints: int = 25, changepoint_range: float = 0.8, weekly: int = 3,
-                      yearly: int = 10, ridge: float = 1.0) -> DataFrame:
+                      yearly: int = 10, ridge: float = 1.0, yearly_mode: str = "auto") -> DataFrame:
+    """``yearly_mode='auto'`` fits the yearly terms only when a key's train
+    span covers two years (shorter spans cannot pin a yearly cycle and its
+    extrapolation runs away); ``'on'`` always fits them."""
     keys = list(keys)
     rows = panel.select(*keys, "day", "split", t, F.col(y).cast("double").alias("_y"))
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keys]
@@ -51,13 +54,15 @@ def forecast_seasonal(panel: DataFrame, keys: Sequence[str] = (), y: str = "sale
         n_cp = min(n_changepoints, max(len(tt) - 2, 0))
         cps = np.quantile(tt[: max(int(len(tt) * changepoint_range), 1)], np.linspace(0, 1, n_cp + 2)[1:-1]) \
             if n_cp > 0 else np.array([])
-        x = _design(tt, t_max, cps, weekly, yearly)
+        yr = yearly if (yearly_mode == "on" or t_max - tt.min() >= 730) else 0
+        wk = weekly if t_max - tt.min() >= 14 else 0
+        x = _design(tt, t_max, cps, wk, yr)
         yy = tr["_y"].to_numpy(dtype=float)
         mu, sd = yy.mean(), yy.std() or 1.0
         pen = ridge * np.eye(x.shape[1])
         pen[0, 0] = 0.0
         beta = np.linalg.solve(x.T @ x + pen, x.T @ ((yy - mu) / sd))
-        xo = _design(out[t].to_numpy(dtype=float), t_max, cps, weekly, yearly)
+        xo = _design(out[t].to_numpy(dtype=float), t_max, cps, wk, yr)
         out["predicted"] = xo @ beta * sd + mu
         return out
 

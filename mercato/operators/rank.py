@@ -81,9 +81,12 @@ def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by:
     n = num_partitions or _n_partitions(df)
     keyed = df.withColumn("_w", w).withColumn("_key", _numeric_key(df, order[0]))
     splits = slice_splits(keyed, F.col("_key"), n)
-    sliced = Bucketizer(splits=splits, inputCol="_key", outputCol="_slice", handleInvalid="keep") \
-        .transform(keyed.withColumn("_key", F.coalesce(F.col("_key"), F.lit(-math.inf)))) \
-        .withColumn("_slice", F.col("_slice").cast("int"))
+    if len(splits) < 3:  # empty or single-valued order column: one slice
+        sliced = keyed.withColumn("_slice", F.lit(0))
+    else:
+        sliced = Bucketizer(splits=splits, inputCol="_key", outputCol="_slice", handleInvalid="keep") \
+            .transform(keyed.withColumn("_key", F.coalesce(F.col("_key"), F.lit(-math.inf)))) \
+            .withColumn("_slice", F.col("_slice").cast("int"))
     in_slice = Window.partitionBy(*by, "_slice")
     local = sliced.withColumn("_local_incl", F.sum("_w").over(
         in_slice.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -306,3 +306,15 @@ def h9_cluster_scatter(spark, sf_dir):
     lab, model = M.kmeans(z, FEATS, k=4, seed=42)
     cents = spark.createDataFrame(M.centers(model, FEATS), ", ".join(["cluster int"] + [f"{f} double" for f in FEATS]))
     return cluster_scatter(lab, cents, FEATS[0], FEATS[1], "customer_id")
+
+
+_G17 = ["calinski_harabasz", "davies_bouldin", "inertia"]
+
+
+@register("g17_metric_correlation", "G17, E6", V.sql(", mc AS (SELECT " + ", ".join(
+    f"NULLIF({m}, 0) AS {m}" for m in _G17) + " FROM metrics), pairs AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS corr FROM mc" for a in _G17 for b in _G17) + f""")
+SELECT a, b, round(COALESCE(corr, 0), {R}) AS corr FROM pairs""", *METRICS_SQL))
+def g17_metric_correlation(spark, sf_dir):
+    c = Cmp.metric_correlation(_metric_long(spark, sf_dir), _G17)
+    return c.select("a", "b", F.round("corr", R).alias("corr"))

@@ -14,8 +14,9 @@ from Spark stages:
    cell's own points in blocks, so pairs are never materialised as rows;
 4. a second per-cell pass links core points within ``eps`` into local
    components and emits one ``(point, local root)`` row per point;
-5. local components are merged across cells by min-label propagation on
-   those rows, with a reliable ``checkpoint`` each round to cut lineage;
+5. local components are merged across cells by min-label propagation with
+   pointer jumping on those rows, with a reliable ``checkpoint`` each round
+   to cut lineage;
 6. border points take the smallest final label among the cores they reach.
 """
 
@@ -40,11 +41,41 @@ def _grid_dims(df: DataFrame, feats: Sequence[str], k: int) -> list[str]:
     return sorted(feats, key=lambda f: -(row[f] or 0.0))[:k]
 
 
-def _within(a: np.ndarray, b: np.ndarray, eps2: float, block: int = 1024):
-    """Yield (row slice start, boolean block a_i within eps of b_j)."""
+def _within(a: np.ndarray, b: np.ndarray, eps2: float, block: int = 512):
+    """Yield (row offset, boolean block: a_i within eps of b_j).
+
+    Squared distances come from one matrix product per block
+    (‖a‖² + ‖b‖² − 2a·b); entries so close to eps² that rounding could
+    decide them are recomputed from the coordinate differences, so the
+    result is the exact test."""
+    bn = (b * b).sum(axis=1)
     for lo in range(0, len(a), block):
-        d = ((a[lo:lo + block, None, :] - b[None, :, :]) ** 2).sum(axis=2)
-        yield lo, d <= eps2
+        ab = a[lo:lo + block]
+        an = (ab * ab).sum(axis=1)
+        d2 = an[:, None] + bn[None, :] - 2.0 * (ab @ b.T)
+        m = d2 <= eps2
+        tol = 1e-9 * (an[:, None] + bn[None, :] + 1.0)
+        near_i, near_j = np.nonzero(np.abs(d2 - eps2) <= tol)
+        if len(near_i):
+            exact = ((ab[near_i] - b[near_j]) ** 2).sum(axis=1)
+            m[near_i, near_j] = exact <= eps2
+        yield lo, m
+
+
+def _components(n: int, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """Connected components of n nodes given undirected edges: each node's
+    label is the smallest node index of its component (vectorised label
+    propagation with pointer jumping)."""
+    lab = np.arange(n)
+    if len(src) == 0:
+        return lab
+    while True:
+        old = lab.copy()
+        np.minimum.at(lab, src, lab[dst])
+        np.minimum.at(lab, dst, lab[src])
+        lab = lab[lab]
+        if np.array_equal(lab, old):
+            return lab
 
 
 def dbscan(df: DataFrame, feats: Sequence[str], key: str, eps: float = 0.7, min_samples: int = 10,
@@ -98,23 +129,15 @@ def dbscan(df: DataFrame, feats: Sequence[str], key: str, eps: float = 0.7, min_
             return empty
         cid = cores["_pid"].to_numpy()
         cx = cores[feats].to_numpy(float)
-        parent = np.arange(len(cid))
-
-        def find(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
         own_core_idx = np.nonzero(cores["_own"].to_numpy())[0]
+        src, dst = [], []
         if len(own_core_idx):
             for lo, m in _within(cx[own_core_idx], cx, eps2):
-                for r, row in enumerate(m):
-                    i = own_core_idx[lo + r]
-                    for j in np.nonzero(row)[0]:
-                        ri, rj = find(i), find(j)
-                        if ri != rj:
-                            parent[max(ri, rj)] = min(ri, rj)
-        roots = np.array([find(i) for i in range(len(cid))])
+                r_idx, c_idx = np.nonzero(m)
+                src.append(own_core_idx[lo + r_idx])
+                dst.append(c_idx)
+        roots = _components(len(cid), np.concatenate(src) if src else np.array([], int),
+                            np.concatenate(dst) if dst else np.array([], int))
         # root id = smallest point id in the local component
         comp_min = pd.Series(cid).groupby(roots).transform("min").to_numpy()
         has_own = pd.Series(cores["_own"].to_numpy()).groupby(roots).transform("max").to_numpy()
@@ -143,9 +166,15 @@ def dbscan(df: DataFrame, feats: Sequence[str], key: str, eps: float = 0.7, min_
     edges = core_links.unionByName(core_links.select(F.col("_root").alias("_pid"), F.col("_pid").alias("_root")))
     labels = edges.groupBy("_pid").agg(F.min(F.least("_pid", "_root")).alias("_lab")).checkpoint(eager=True)
     for _ in range(max_rounds):
-        nxt = edges.join(labels.withColumnRenamed("_pid", "_root").withColumnRenamed("_lab", "_nl"), "_root") \
+        # propagate: the smallest label among a point and its neighbours
+        hop = edges.join(labels.withColumnRenamed("_pid", "_root").withColumnRenamed("_lab", "_nl"), "_root") \
             .groupBy("_pid").agg(F.min("_nl").alias("_m")) \
-            .join(labels, "_pid").select("_pid", F.least("_lab", "_m").alias("_lab")).checkpoint(eager=True)
+            .join(labels, "_pid").select("_pid", F.least("_lab", "_m").alias("_lab"))
+        # pointer jumping: a label is itself a point of the same component,
+        # so taking the label's label halves chains each round
+        jump = hop.select(F.col("_pid").alias("_lab"), F.col("_lab").alias("_jl"))
+        nxt = hop.join(jump, "_lab", "left") \
+            .select("_pid", F.least("_lab", F.coalesce("_jl", "_lab")).alias("_lab")).checkpoint(eager=True)
         changed = nxt.join(labels.withColumnRenamed("_lab", "_old"), "_pid").where(F.col("_lab") != F.col("_old")) \
             .limit(1).count()
         labels = nxt

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rank import exact_quantiles, row_positions
+from .rank import exact_quantiles, running_total, value_counts
 from .sample import sample_cap
 
 
@@ -134,11 +134,17 @@ def parallel_profile(df: DataFrame, feats: Sequence[str], key: str, label: str =
 def ecdf(df: DataFrame, col: str, base: int = 0) -> DataFrame:
     """Sorted values with their cumulative share ``(i + base) / n`` (W9):
     ``base=0`` starts at 0 (EDA convention), ``base=1`` at 1/n (clustering
-    convention). Positions come from ``row_positions``, never from a window
-    over the whole table."""
-    vals = df.select(F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull())
-    pos = row_positions(vals, ["value"])
-    return pos.select("value", ((F.col("pos") + base) / F.col("n")).alias("ecdf"))
+    convention).
+
+    Positions come from the value-count table (a value repeated by a third
+    of the rows is one row there) and ``running_total``, never from a window
+    over the whole table; each distinct value then expands back into its
+    rows' consecutive positions."""
+    counts = value_counts(df, [col])
+    ranked = running_total(counts, "_cnt", ["value"])
+    pos = ranked.select("value", F.explode(F.sequence(F.col("cum_before"), F.col("cum_before") + F.col("_cnt") - 1))
+                        .alias("pos"), "group_total")
+    return pos.select("value", ((F.col("pos") + base) / F.col("group_total")).alias("ecdf"))
 
 
 def cluster_scatter(labelled: DataFrame, centres: DataFrame, x: str, y: str, key: str, label: str = "cluster") -> DataFrame:

@@ -19,8 +19,15 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df.hint("shuffle_hash")
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """``bound``: a plain table scan whose row count bounds ``df`` (e.g. the
+    dimension before a key join that cannot add rows); counting a scan
+    reads file metadata only, so the check costs no pass over the data."""
+    if bound is not None:
+        ok = bound.count() <= max_rows
+    else:
+        ok = fits(df, max_rows)
+    return F.broadcast(df) if ok else df.hint("shuffle_hash")
 
 
 def attach_labels(rows: DataFrame, labels: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -65,12 +65,15 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.joins import broadcast_if_small
     cust_country = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey) \
         .select("c_custkey", "n_name")
-    order_country = orders.join(broadcast_if_small(cust_country), orders.o_custkey == cust_country.c_custkey) \
+    order_country = orders.join(broadcast_if_small(cust_country, bound=cust),
+                                orders.o_custkey == cust_country.c_custkey) \
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
     # lineitem is only ever the streamed side; each dimension is broadcast
-    # when its counted size is within bound, else hashed per task.
-    lines = li.join(broadcast_if_small(order_country), li.l_orderkey == order_country.o_orderkey) \
-        .join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
+    # when its row count (read from the scan's metadata; key joins on the
+    # dimension's primary key cannot add rows) is within bound, else it is
+    # the per-task hash side of a shuffled join.
+    lines = li.join(broadcast_if_small(order_country, bound=orders), li.l_orderkey == order_country.o_orderkey) \
+        .join(broadcast_if_small(part, bound=part), li.l_partkey == part.p_partkey)
 
     is_return = F.col("l_returnflag") == "R"
     price = F.col("l_extendedprice").cast("decimal(18,2)")

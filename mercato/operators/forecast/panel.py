@@ -17,14 +17,25 @@ from .. import series as W
 
 
 def build_panel(lines: DataFrame, keys: Sequence[str] = (), value: str = "sales", test_days: int = 31,
-                val_days: int = 31, fill_missing: bool = True, **split_kw) -> DataFrame:
+                val_days: int = 31, fill_missing: bool = True, materialise: bool = True, **split_kw) -> DataFrame:
     """lines → daily sums per key (A1) → gap fill with 0 (W1) → split
-    → time index (W4)."""
+    → time index (W4).
+
+    The panel has one row per key and day, whatever the number of lines,
+    and every model reads it several times (train rows, holdout rows, tails,
+    horizons), so it is written once with a reliable checkpoint."""
     keys = list(keys)
     daily = A.daily_sales(lines, keys, amount=value)
+    if materialise:  # the one pass over the lines; the calendar steps below read it several times
+        from ...session import checkpoint_dir
+        checkpoint_dir(lines.sparkSession)
+        daily = daily.checkpoint(eager=True)
     filled = W.gap_fill(daily, keys, "day", "sales", 0.0 if fill_missing else None)
     split = W.split_by_date(filled, "day", test_days=test_days, val_days=val_days, **split_kw)
-    return W.time_index(split, keys)
+    panel = W.time_index(split, keys)
+    if materialise:
+        panel = panel.checkpoint(eager=True)
+    return panel
 
 
 def prediction_frame(df: DataFrame, model: str, keys: Sequence[str], pred: str = "predicted",

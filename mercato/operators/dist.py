@@ -40,6 +40,14 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = ()) -
                          (F.col("_lo") + (F.col("bin") + 1) * w).alias("hi"), "count")
 
 
+def colour_histogram(df: DataFrame, col: str = "total_spent", colour: str | None = None, bins: int = 30) -> DataFrame:
+    """Histogram of ``col`` split by a colour column (H1, dashboard variant);
+    a colour column the table does not have falls back to ``col`` itself."""
+    c = colour if colour in df.columns else col
+    out = histogram(df.withColumn("_colour", F.col(c)), col, bins, by=["_colour"])
+    return out.withColumnRenamed("_colour", "colour")
+
+
 def kde(df: DataFrame, col: str, grid: int = 100, by: Sequence[str] = (), prebins: int = 1024) -> DataFrame:
     """Gaussian kernel density on a grid over the column's range (H2).
 

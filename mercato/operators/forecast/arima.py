@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from ..series import fill_forward_back
 from .panel import holdout, prediction_frame, train
 
 MODEL = "arima"
@@ -79,7 +80,9 @@ def forecast_arima(panel: DataFrame, keys: Sequence[str] = (), p: int = 3, d: in
         raise ValueError("d must be 0 or 1")
     keys = list(keys)
     spec = Window.partitionBy(*keys).orderBy(t)
-    tr = train(panel).select(*keys, t, y)
+    # forward then backward fill of the train series (W2); a no-op on a
+    # zero-filled panel, it matters for panels built without gap filling
+    tr = fill_forward_back(train(panel).select(*keys, "day", t, y), keys, "day", y).select(*keys, t, y)
     sizes = tr.groupBy(*keys).agg(F.count(F.lit(1)).alias("_len"), F.max(t).alias("_t_end"))
     tr = _join_keys(tr, sizes.where(F.col("_len") >= min_points).select(*keys, "_t_end"), keys)
 

@@ -167,3 +167,14 @@ SELECT customer_id, cluster FROM r JOIN qt USING (cluster) WHERE rn <= quota""",
 def w11_stratified_sample(spark, sf_dir):
     lab = labelled(spark, sf_dir).select("customer_id", "cluster")
     return stratified_sample(lab, "cluster", 200, "customer_id")
+
+
+@register("h1_customer_histogram_by_cluster", "H1", V.sql("""
+, raw AS (SELECT c.total_spent AS x, l.cluster AS colour FROM customers c JOIN labelled l USING (customer_id)),
+r AS (SELECT min(x) AS lo, max(x) AS hi FROM raw)
+SELECT colour, CAST(least(floor((x - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin, count(*) AS count
+FROM raw, r GROUP BY 1, 2""", *LABELLED_SQL))
+def h1_customer_histogram_by_cluster(spark, sf_dir):
+    lab = labelled(spark, sf_dir).select("customer_id", "cluster")
+    raw = V.customers(spark, sf_dir).join(lab, "customer_id")
+    return D.colour_histogram(raw, "total_spent", "cluster", 30).select("colour", "bin", "count")

@@ -18,9 +18,15 @@ from .sample import sample_cap
 
 
 def _join_small(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach a per-group statistics table (one row per group)."""
+    """Attach a per-group statistics table (one row per group). It is
+    broadcast after a bounded count, so the rows are not shuffled by group
+    (a group holding a third of the rows would otherwise land in one task);
+    with very many groups it falls back to a shuffled hash join."""
     by = list(by)
-    return df.join(small, on=by) if by else df.crossJoin(F.broadcast(small))
+    if not by:
+        return df.crossJoin(F.broadcast(small))
+    from .joins import broadcast_if_small
+    return df.join(broadcast_if_small(small), on=by)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:

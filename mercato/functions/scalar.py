@@ -72,8 +72,11 @@ def epoch_micros(ts: str | Column) -> Column:
 def elapsed_days(start: str | Column, end: str | Column) -> Column:
     """Whole days elapsed from ``start`` to ``end``: floor of the time
     difference, like ``timedelta.days``; not the calendar boundary count of
-    ``datediff`` (A12)."""
-    return F.floor((epoch_micros(end) - epoch_micros(start)) / F.lit(MICROS_PER_DAY)).cast("int")
+    ``datediff`` (A12). ``timestamp_diff`` on wall-clock (NTZ) values does
+    not depend on the session time zone, so a daylight-saving hour cannot
+    shift the result by a day."""
+    micros = F.timestamp_diff("MICROSECOND", col(start), col(end))
+    return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int")
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SECONDS_PER_DAY = 86400
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -61,14 +60,6 @@ def expm1(c: str | Column) -> Column:
     return F.expm1(col(c))
 
 
-def epoch_micros(ts: str | Column) -> Column:
-    """Microseconds since the epoch for TIMESTAMP and TIMESTAMP_NTZ alike.
-
-    NTZ values are read as wall-clock UTC, which is what whole-day arithmetic
-    on naive timestamps needs (the session time zone is pinned to UTC)."""
-    return F.unix_micros(col(ts).cast("timestamp"))
-
-
 def elapsed_days(start: str | Column, end: str | Column) -> Column:
     """Whole days elapsed from ``start`` to ``end``: floor of the time
     difference, like ``timedelta.days``; not the calendar boundary count of
@@ -82,8 +73,3 @@ def elapsed_days(start: str | Column, end: str | Column) -> Column:
 def safe_div(num: Column, den: Column) -> Column:
     """Division that yields NULL instead of raising on a zero divisor."""
     return F.try_divide(num, den)
-
-
-def money(c: str | Column) -> Column:
-    """An exact decimal money column as double, for output."""
-    return col(c).cast("double")

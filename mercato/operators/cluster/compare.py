@@ -1,4 +1,4 @@
-"""Comparison of clusterers by their metrics.
+"""Comparison of clusterers by their metrics.
 
 Metric tables hold one row per model: they are as small as the list of
 models, so the windows over them have no partition key on purpose.
@@ -6,7 +6,7 @@ models, so the windows over them have no partition key on purpose.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,8 +52,3 @@ def metric_correlation(metrics: DataFrame, cols: Sequence[str] = METRICS, fill_z
     from ..explore import correlation
     out = correlation(cleaned, list(cols))
     return out.withColumn("corr", F.coalesce("corr", F.lit(0.0))) if fill_zero else out
-
-
-def elbow(fit_inertia: Callable[[int], float], ks: Sequence[int] = range(1, 11)) -> list[tuple[int, float]]:
-    """(k, inertia) for each k (G10); the caller supplies the fit."""
-    return [(k, float(fit_inertia(k))) for k in ks]

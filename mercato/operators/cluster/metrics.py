@@ -151,11 +151,3 @@ def silhouette(sample: DataFrame, feats: Sequence[str], label: str = "cluster",
     return per.agg(
         F.when(F.countDistinct(label) < 2, F.lit(None).cast("double"))
          .otherwise(F.avg("silhouette")).alias("silhouette"))
-
-
-def metric_row(df: DataFrame, feats: Sequence[str], label: str = "cluster", key: str = "customer_id",
-               sample: DataFrame | None = None) -> DataFrame:
-    """silhouette, calinski_harabasz, davies_bouldin, inertia in one row."""
-    sil = silhouette(sample if sample is not None else df, feats, label, key)
-    return sil.crossJoin(calinski_harabasz(df, feats, label)) \
-        .crossJoin(davies_bouldin(df, feats, label)).crossJoin(inertia(df, feats, label))

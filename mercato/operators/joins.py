@@ -1,4 +1,5 @@
-"""Join helpers (J1, J2 and the star joins of the line view).
+"""Join helpers (J1 and the star joins of the line view; J2 is
+``forecast.evaluate.scaled_vs_unscaled``).
 
 ``broadcast_if_small`` is the only place a data-dependent side is
 broadcast: the side is counted up to a bound first (a bounded action that
@@ -33,8 +34,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: D
 def attach_labels(rows: DataFrame, labels: DataFrame, key: str = "customer_id") -> DataFrame:
     """Labels to rows by key."""
     return rows.join(labels, on=key, how="inner")
-
-
-def full_outer_by(a: DataFrame, b: DataFrame, key: str = "model") -> DataFrame:
-    """Two tables side by side by key, missing on either side kept."""
-    return a.join(b, on=key, how="full_outer")

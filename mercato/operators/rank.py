@@ -52,7 +52,8 @@ def slice_splits(df: DataFrame, key: Column, n: int) -> list[float]:
 
 
 def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by: Sequence[str] = (),
-                  num_partitions: int | None = None, stable: bool = False) -> DataFrame:
+                  num_partitions: int | None = None, stable: bool = False,
+                  groups_bound: int | None = None) -> DataFrame:
     """Add ``cum_before`` (sum of ``weight`` over earlier rows of the same
     ``by`` group in ``order``) and ``group_total``.
 
@@ -102,7 +103,12 @@ def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by:
         F.sum("_slice_total").over(whole).alias("group_total"),
     )
     from .joins import broadcast_if_small
-    return local.join(broadcast_if_small(offsets, 200_000), on=[*by, "_slice"]) \
+    # offsets rows <= groups × slices: with a known bound on the groups (one
+    # group, or one per column) it is proven small; otherwise count first
+    groups = 1 if not by else groups_bound
+    small = F.broadcast(offsets) if groups is not None and groups * len(splits) <= 200_000 \
+        else broadcast_if_small(offsets, 200_000)
+    return local.join(small, on=[*by, "_slice"]) \
         .withColumn("cum_before", F.col("_offset") + F.col("_local_incl") - F.col("_w")) \
         .drop("_slice", "_local_incl", "_offset", "_w", "_key")
 
@@ -141,7 +147,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     if counts is None:
         counts = value_counts(df, cols, by)
-    ranked = running_total(counts, "_cnt", ["value"], by=[*by, "column"])
+    ranked = running_total(counts, "_cnt", ["value"], by=[*by, "column"],
+                           groups_bound=None if by else len(list(cols)))
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     h = (F.col("group_total") - 1) * F.col("prob")
     lo = F.floor(h)

@@ -154,12 +154,3 @@ event_text_dates AS (
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS invoice_date_text
   FROM events
 )"""
-
-
-def with_views(body: str, *views: str) -> str:
-    """``WITH <views> <body>``: prefix view definitions to an oracle query."""
-    parts = [v.strip() for v in views]
-    if body.lstrip().upper().startswith("WITH "):
-        rest = body.lstrip()[5:]
-        return "WITH " + ",\n".join(parts) + ",\n" + rest
-    return "WITH " + ",\n".join(parts) + "\n" + body

@@ -151,3 +151,35 @@ def silhouette(sample: DataFrame, feats: Sequence[str], label: str = "cluster",
     return per.agg(
         F.when(F.countDistinct(label) < 2, F.lit(None).cast("double"))
          .otherwise(F.avg("silhouette")).alias("silhouette"))
+
+
+def silhouette_sq_full(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+    """Silhouette with squared Euclidean distance over all rows (the measure
+    Spark's ``ClusteringEvaluator`` computes), in O(n·k).
+
+    The mean squared distance from x to cluster C is
+    ‖x‖² − 2·x·μ_C + mean_C(‖y‖²), so one k-row table of cluster sizes,
+    means and mean squared norms (broadcast) replaces all pairs. The own
+    cluster excludes the point itself: a = n_C/(n_C − 1) · d(x, C); a
+    single-point cluster scores 0."""
+    feats = list(feats)
+    norm = sum((F.col(f) * F.col(f) for f in feats), F.lit(0.0))
+    rows = df.select(label, *[F.col(f).cast("double").alias(f) for f in feats]).dropna().withColumn("_nx", norm)
+    stats = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.avg("_nx").alias("_ny"),
+                                    *[F.avg(f).alias(f"_m_{f}") for f in feats])
+    packed = stats.select(F.collect_list(F.struct(F.col(label).alias("c"), "_n", "_ny",
+                                                  F.array(*[F.col(f"_m_{f}") for f in feats]).alias("m")))
+                          .alias("_cs"))  # one row holding k entries
+    x = F.array(*[F.col(f) for f in feats])
+    dot = lambda m: F.aggregate(F.zip_with(x, m, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    with_d = rows.crossJoin(F.broadcast(packed)).withColumn(
+        "_d", F.transform("_cs", lambda s: F.struct(s["c"].alias("c"), s["_n"].alias("n"),
+                                                    (F.col("_nx") - 2 * dot(s["m"]) + s["_ny"]).alias("d"))))
+    own = F.filter("_d", lambda s: s["c"] == F.col(label))[0]
+    others = F.filter("_d", lambda s: s["c"] != F.col(label))
+    a = F.when(own["n"] <= 1, F.lit(0.0)).otherwise(own["d"] * own["n"] / (own["n"] - 1))
+    b = F.array_min(F.transform(others, lambda s: s["d"]))
+    s = F.when(own["n"] <= 1, F.lit(0.0)).when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(F.lit(0.0))
+    per = with_d.select(label, s.alias("_s"))
+    return per.agg(F.when(F.countDistinct(label) < 2, F.lit(None).cast("double"))
+                   .otherwise(F.avg("_s")).alias("silhouette_sq_full"))

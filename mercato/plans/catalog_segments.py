@@ -318,3 +318,24 @@ SELECT a, b, round(COALESCE(corr, 0), {R}) AS corr FROM pairs""", *METRICS_SQL))
 def g17_metric_correlation(spark, sf_dir):
     c = Cmp.metric_correlation(_metric_long(spark, sf_dir), _G17)
     return c.select("a", "b", F.round("corr", R).alias("corr"))
+
+
+_SQ = " + ".join(f"{f} * {f}" for f in FEATS)
+
+
+@register("g5_silhouette_sq_full", "G5, G11", V.sql(f"""
+, pts AS (SELECT *, {_SQ} AS nx FROM labelled),
+cs AS (SELECT cluster AS c, count(*) AS n, avg(nx) AS ny, {", ".join(f"avg({f}) AS m_{f}" for f in FEATS)}
+       FROM pts GROUP BY cluster),
+d AS (SELECT p.customer_id, p.cluster, cs.c, cs.n,
+             p.nx - 2 * ({" + ".join(f"p.{f} * cs.m_{f}" for f in FEATS)}) + cs.ny AS dd
+      FROM pts p, cs),
+ab AS (SELECT customer_id,
+              max(CASE WHEN c = cluster THEN n END) AS n_own,
+              max(CASE WHEN c = cluster THEN dd * n / (n - 1) END) AS a,
+              min(CASE WHEN c <> cluster THEN dd END) AS b
+       FROM d GROUP BY customer_id),
+s AS (SELECT CASE WHEN n_own <= 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END AS s FROM ab)
+SELECT round(avg(s), {R}) AS silhouette_sq_full FROM s""", *LABELLED_SQL))
+def g5_silhouette_sq_full(spark, sf_dir):
+    return _round(Me.silhouette_sq_full(labelled(spark, sf_dir), FEATS), ["silhouette_sq_full"])

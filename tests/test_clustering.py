@@ -150,3 +150,14 @@ def test_pca_projection_centred(spark):
     df, _ = blobs(spark)
     p = M.pca(df, FEATS, k=2).agg(F.avg("pc1"), F.avg("pc2")).first()
     assert abs(p[0]) < 1e-9 and abs(p[1]) < 1e-9
+
+
+def test_full_squared_silhouette_matches_spark_evaluator(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    df, _ = blobs(spark, n_per=40)
+    lab = df.withColumn("cluster", (F.col("id") % 3).cast("int"))
+    ours = Me.silhouette_sq_full(lab, FEATS).first()[0]
+    vec = M.assemble(lab, FEATS)
+    ref = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
+                              distanceMeasure="squaredEuclidean").evaluate(vec)
+    assert ours == pytest.approx(ref, rel=1e-9, abs=1e-12)

@@ -137,14 +137,25 @@ def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), mat
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
+                    by: Sequence[str] = (), counts: DataFrame | None = None, approx: bool = False,
+                    accuracy: int = 10_000) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
     (pandas ``quantile``, DuckDB ``quantile_cont``), NULLs ignored.
 
     Returns ``(by…, column, prob, value)``. ``counts`` may pass an existing
-    ``value_counts`` table of the same columns and groups.
+    ``value_counts`` table of the same columns and groups. ``approx=True``
+    trades exactness for one pass with ``percentile_approx`` sketches (rank
+    error about 1/``accuracy``), for very large groups where a second pass
+    is not worth it.
     """
     by = list(by)
+    if approx:
+        long = unpivot_numeric(df, cols, by).where(F.col("value").isNotNull())
+        arr = long.groupBy(*by, "column").agg(
+            F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("_qs"))
+        return arr.select(*by, "column", F.posexplode("_qs").alias("_i", "value")) \
+            .withColumn("prob", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)) \
+            .select(*by, "column", "prob", "value")
     if counts is None:
         counts = value_counts(df, cols, by)
     ranked = running_total(counts, "_cnt", ["value"], by=[*by, "column"],

@@ -54,3 +54,11 @@ def test_running_total_by_group(spark):
     for g in range(3):
         part = out[out.g == g].sort_values("v")
         assert list(part.cum_before) == list(range(200))
+
+
+def test_approx_option_is_close(spark):
+    vals = list(np.linspace(0, 1000, 5001))
+    df = spark.createDataFrame([(float(v), 0) for v in vals], "x double, g int")
+    out = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], approx=True).collect()}
+    for p in (0.1, 0.5, 0.9):
+        assert abs(out[p] - np.quantile(vals, p)) <= 1000 / 1000

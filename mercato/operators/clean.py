@@ -56,9 +56,11 @@ def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Which of ``cols`` hold a NULL. One pass whose ``IsNull`` filter reaches
-    the parquet scan, so row groups whose statistics show no NULLs are
-    skipped; the result is one row of flags."""
+    """Which of ``cols`` hold a NULL. Columns a source certified NULL-free
+    (column metadata) are not checked; the rest take one pass whose result
+    is one row of flags."""
+    from ..sources.tables import NULL_FREE
+    cols = [c for c in cols if not df.schema[c].metadata.get(NULL_FREE)]
     if not cols:
         return []
     any_null = F.col(cols[0]).isNull()

@@ -103,3 +103,21 @@ def test_ecdf_conventions(spark):
     one = sorted((r["value"], r["ecdf"]) for r in D.ecdf(df, "x", 1).collect())
     assert zero == [(1.0, 0.0), (2.0, 0.25), (2.0, 0.5), (3.0, 0.75)]
     assert one == [(1.0, 0.25), (2.0, 0.5), (2.0, 0.75), (3.0, 1.0)]
+
+
+def test_null_free_metadata_skips_the_check(spark):
+    from mercato.sources import sales_lines
+    from mercato.sources.tables import NULL_FREE
+    from tests.conftest import SF_SMALL
+    lines = sales_lines(spark, SF_SMALL)
+    assert lines.schema["quantity"].metadata.get(NULL_FREE) is True
+    assert C.columns_with_nulls(lines, ["quantity", "unit_price"]) == []
+    assert C.columns_with_nulls(lines, ["customer_id"]) == ["customer_id"]
+
+
+def test_colour_histogram_falls_back_to_the_measured_column(spark):
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, "a")], "total_spent double, g string")
+    by_g = {(r["colour"], r["bin"]): r["count"] for r in D.colour_histogram(df, "total_spent", "g", 3).collect()}
+    assert sum(by_g.values()) == 3 and {k[0] for k in by_g} == {"a", "b"}
+    fallback = D.colour_histogram(df, "total_spent", "no_such_column", 3).collect()
+    assert sorted(float(r["colour"]) for r in fallback) == [1.0, 2.0, 3.0]

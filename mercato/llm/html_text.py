@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame
 
 from mercato.llm.common import map_texts
 
-PATH_DIM, WORD_DIM, STATS = 64, 24, 8
+PATH_DIM, WORD_DIM, STATS = 128, 16, 8
 DIM = PATH_DIM + WORD_DIM + STATS
 HIDDEN = 16
-TRAIN_PAGES = 320
+TRAIN_PAGES = 480
 EPOCHS = 14
+#: The words of a block that its vector hashes: the first of them; its text is never cut.
+LEAD_WORDS = 16
 #: Block vectors held at once while scoring.
 MAX_CELLS = 20_000
 
@@ -47,6 +49,7 @@ CLOSED_BY_NEXT = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd
 CLOSES_P = BLOCK_TAGS - {"br", "button", "label", "option", "legend"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_DIGIT = re.compile(r"[0-9]")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -67,12 +70,10 @@ def blocks_of(page: str | None) -> list[Block]:
     path: tuple[str, ...] = ()
 
     def end_block() -> None:
-        nonlocal parts
-        if parts:
-            text = " ".join("".join(t for t, _ in parts).split())
-            if text:
-                out.append(Block(path, text, sum(len(t.strip()) for t, linked in parts if linked)))
-            parts = []
+        text = " ".join("".join([t for t, _ in parts]).split())
+        if text:
+            out.append(Block(path, text, sum(len(t.strip()) for t, linked in parts if linked)))
+        parts.clear()
 
     def pop(to: int) -> None:
         nonlocal silent, links
@@ -99,10 +100,11 @@ def blocks_of(page: str | None) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
-        if tag in BLOCK_TAGS:
+        if parts and tag in BLOCK_TAGS:
             end_block()
         if m[1]:
-            own = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            own = len(stack) - 1 if stack and stack[-1][0] == tag else \
+                next((i for i in range(len(stack) - 2, -1, -1) if stack[i][0] == tag), None)
             if own is not None:
                 pop(own)
             continue
@@ -120,11 +122,12 @@ def blocks_of(page: str | None) -> list[Block]:
             close = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
-        names = " ".join(next(filter(None, x[1:]), "") for x in _ATTR.findall(m[3])).lower() if m[3] else ""
+        names = m[3] and " ".join(next(filter(None, x[1:]), "") for x in _ATTR.findall(m[3])).lower()
         stack.append((tag, f"{tag} {names}" if names else tag))
         silent += tag in SILENT_TAGS
         links += tag == "a"
-    end_block()
+    if parts:
+        end_block()
     return out
 
 
@@ -142,14 +145,17 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
 def block_vector(block: Block, at: int, n: int, out: np.ndarray) -> None:
     out[:PATH_DIM] = path_vector(block.path)
     text = block.text
-    words = text.lower().split()
-    seen = np.bincount([zlib.crc32(w.encode()) % WORD_DIM for w in words[:64]], minlength=WORD_DIM)
-    out[PATH_DIM:PATH_DIM + WORD_DIM] = seen / math.sqrt(len(words) + 1)
+    words = text.count(" ") + 1
+    lead = text.lower().split(" ", LEAD_WORDS)[:LEAD_WORDS]
+    seen, share = [0.0] * WORD_DIM, 1 / len(lead)
+    for w in lead:
+        seen[zlib.crc32(w.encode()) % WORD_DIM] += share
     size = len(text)
-    out[PATH_DIM + WORD_DIM:] = (
-        math.log1p(size) / 6, math.log1p(len(words)) / 4, min(block.link_chars / size, 1.0),
-        (text.count(".") + text.count(",")) / (len(words) + 1), text[-1] in ".!?:;", at / n, math.log1p(n) / 5,
-        any(c.isdigit() for c in text[:200]))
+    out[PATH_DIM:] = (
+        *seen,
+        math.log1p(size) / 6, math.log1p(words) / 4, min(block.link_chars / size, 1.0),
+        (text.count(".") + text.count(",")) / (words + 1), text[-1] in ".!?:;", at / n, math.log1p(n) / 5,
+        _DIGIT.search(text, 0, 200) is not None)
 
 
 def page_matrix(blocks: list[Block]) -> np.ndarray:
@@ -266,6 +272,13 @@ def _words(rng: np.random.Generator, low: int, high: int) -> str:
     n = int(rng.integers(low, high + 1))
     out = ["".join(rng.choice(_SYLLABLES, int(rng.integers(1, 4)))) for _ in range(n)]
     out[0] = out[0].capitalize()
+    style = rng.random()
+    if style < 0.15:
+        out[int(rng.integers(n))] = f"{rng.integers(10 ** int(rng.integers(1, 6)))}{rng.choice(['', '.0', '%', '-4'])}"
+    elif style < 0.19:
+        out = [w.upper() + "!!" for w in out]
+    elif style < 0.23:
+        out = [w + str(rng.choice(["***", "%%%", "$$$", " |"])) for w in out]
     ends = [w + str(rng.choice(["", "", "", "", "", ",", "."])) for w in out]
     return " ".join(ends) + str(rng.choice([".", ".", ".", ""]))
 

@@ -46,6 +46,15 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, whatever the optimiser inlines or pushes down.
+
+    Inside a lambda, a plain reference to a computed column may be replaced by its expression and then be evaluated
+    again for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def hash128(*cols: Column) -> list[Column]:
     """Two independent 64-bit hashes: a 128-bit key whose chance collisions are negligible at any corpus size."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(0x5BD1E995), *cols)]

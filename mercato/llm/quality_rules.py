@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128
+from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128, let
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -26,50 +26,68 @@ LINE_MIN_PCT = 10
 MAX_REMOVED_PCT = 80
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "c")
+
+
 def words(text: Column) -> Column:
     """The ``[^\\x20\\x09-\\x0D]+`` words of a text; none for NULL or blank."""
-    body = F.trim(F.coalesce(text, F.lit("")), F.lit(ASCII_SPACE))
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, r"[\x20\x09-\x0D]+", -1))
+    cut = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1)
+    return F.filter(cut, lambda w: w != "")
+
+
+def _windows(w: Column) -> Column:
+    """The hash of each run of eight words, by way of pair hashes; NULL for fewer words."""
+    pairs = let(w, lambda x: F.transform(x, lambda y, i: F.xxhash64(y, F.get(x, i + 1))))
+    return let(pairs, lambda h: F.when(F.size(h) >= WINDOW, F.transform(
+        F.sequence(F.lit(0), F.size(h) - WINDOW),
+        lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(0, WINDOW, 2)]))))
+
+
+def _repeated_words(hashes: Column) -> Column:
+    """The words that windows found twice or more cover. Only hashes that are not all distinct are sorted."""
+    def covered(at: Column) -> Column:
+        steps = F.transform(at, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(at, k + 1) - p, F.lit(WINDOW))))
+        return F.aggregate(steps, F.lit(0).cast("long"), lambda x, y: x + y)
+
+    def positions(by_hash: Column) -> Column:
+        again = F.filter(by_hash, lambda x, k: (F.get(by_hash, k - 1)["h"] == x["h"])
+                         | (F.get(by_hash, k + 1)["h"] == x["h"]))
+        return F.array_sort(F.transform(again, lambda x: x["i"]))
+
+    def of(h: Column) -> Column:
+        by_hash = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), let(let(by_hash, positions), covered))
+
+    return F.coalesce(let(hashes, of), F.lit(0).cast("long"))
 
 
 def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed.
 
-    Repeated windows are found inside the row: only a text whose window hashes are not all distinct is sorted. A
-    hash is of the eight words themselves (array elements, 64 bits), positions covered are the merged intervals.
+    Repeated windows are found inside the row: a hash is of the eight words themselves (array elements, 64 bits), the
+    positions covered are the merged intervals.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.withColumns({"_words": words(F.col(text_col)),
-                           "_lines": F.filter(F.split(text, "\n", -1),
-                                              lambda x: F.trim(x, F.lit(ASCII_SPACE)) != "")})
-    n = F.size("_words")
-    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)),
-                                              lambda i: F.xxhash64(F.slice("_words", i, WINDOW))))
-    df = df.withColumn("_win", windows)
-    sortable = F.array_sort(F.transform("_win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("_sorted", F.when(F.size(F.array_distinct("_win")) < F.size("_win"), sortable))
-    again = F.filter("_sorted", lambda x, k: (F.get("_sorted", k - 1)["h"] == x["h"])
-                     | (F.get("_sorted", k + 1)["h"] == x["h"]))
-    df = df.withColumn("_at", F.array_sort(F.transform(again, lambda x: x["i"])))
-    covered = F.aggregate(
-        F.transform("_at", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("_at", k + 1) - p, F.lit(WINDOW)))),
-        F.lit(0).cast("long"), lambda a, b: a + b)
-    n_words, repeat = n.cast("long"), F.coalesce(covered, F.lit(0).cast("long"))
-    df = df.withColumns({
-        "n_words": n_words, "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-        "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": repeat})
+    lines = F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(ASCII_SPACE)) != "")
+    dup = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+    counts = let(words(F.col(text_col)), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        _repeated_words(_windows(w)).alias("n_repeat_words")))
+    # inline() keeps filters on the counts above them, so that they are worked out once
+    made = F.array(F.struct(counts.alias("c"), dup.alias("n_dup_lines"),
+                            F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols")))
+    df = docs.drop(*COUNTS).select("*", F.inline(made)).select(
+        *[c for c in docs.columns if c not in COUNTS], "c.*", "n_dup_lines", "n_symbols")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_words", "_lines", "_win", "_sorted", "_at")
+    return df.withColumn("base_failed", failed)
 
 
 def normalised_line(line: Column) -> Column:
     """Stripped, A-Z lower-cased, digit runs as one 0, white-space runs as one space."""
-    x = F.trim(line, F.lit(ASCII_SPACE))
-    x = F.when(x.rlike(r"[0-9]"), F.regexp_replace(x, r"[0-9]+", "0")).otherwise(x)
-    x = F.when(x.rlike(r"[\x09-\x0D]|  "), F.regexp_replace(x, r"[\x20\x09-\x0D]+", " ")).otherwise(x)
-    return ascii_lower(x)
+    plain = let(F.trim(line, F.lit(ASCII_SPACE)), lambda x: F.when(
+        x.rlike(r"[0-9\x09-\x0D]|  "),
+        F.regexp_replace(F.regexp_replace(x, r"[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")).otherwise(x))
+    return let(plain, ascii_lower)
 
 
 def _with_unit(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
@@ -82,13 +100,17 @@ def depleted_units(docs: DataFrame, text_col: str = "text", host_col: str = "sou
                    max_removed_pct: int = MAX_REMOVED_PCT) -> DataFrame:
     """(_u1, _u2, boiler_words) of the distinct (host, text) pairs that boilerplate lines deplete."""
     own = _with_unit(docs.select(F.col(host_col).alias("_host"), F.col(text_col).alias("_text")), "_text", "_host")
-    lines = own.select("_host", "_u1", "_u2", F.explode(F.split("_text", "\n", -1)).alias("line"))
-    lines = lines.select("_host", "_u1", "_u2", normalised_line(F.col("line")).alias("line")).where("line != ''")
-    h1, h2 = hash128(F.col("line"))
-    n_words = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
+    def hashed(line: Column) -> Column:
+        def of(x: Column) -> Column:
+            h1, h2 = hash128(x)
+            n_words = F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+            return F.when(x != "", F.struct(h1.alias("h1"), h2.alias("h2"), n_words.alias("w")))
+        return let(normalised_line(line), of)
+
+    lines = own.select("_host", "_u1", "_u2", F.explode(F.transform(F.split("_text", "\n", -1), hashed)).alias("x"))
     # one row for each line of a text, however often the text or the line is repeated; salted over texts, so a line
     # held by a third of them is no hot group
-    held = (lines.select("_host", "_u1", "_u2", h1.alias("h1"), h2.alias("h2"), n_words.alias("w"))
+    held = (lines.where("x IS NOT NULL").select("_host", "_u1", "_u2", "x.h1", "x.h2", "x.w")
             .groupBy("_host", "h1", "h2", "_u1", "_u2").agg(F.count(F.lit(1)).alias("times"), F.max("w").alias("w")))
     hosts = own.groupBy("_host", "_u1", "_u2").agg(F.lit(1).alias("one")).groupBy("_host") \
                .agg(F.count(F.lit(1)).alias("host_docs"))

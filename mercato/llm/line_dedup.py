@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128
+from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128, let
 
 MIN_CHARS = 1
 MIN_DOCS = 10
@@ -45,24 +45,25 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if keep not in ("none", "first"):
         raise ValueError("keep must be 'none' or 'first'")
-    keyed = (_documents(docs, id_col, text_col)
-             .select("_id", "_r1", "_r2", F.posexplode(_lines(F.col("_text"))).alias("pos", "line"))
-             .select("_id", "_r1", "_r2", "pos", line_key(F.col("line")).alias("key"))
-             .where(F.length("key") >= min_chars))
-    h1, h2 = hash128(F.col("key"))
+    def hashed(line: Column) -> Column:
+        def of(key: Column) -> Column:
+            h1, h2 = hash128(key)
+            return F.struct((F.length(key) >= min_chars).alias("counts"), h1.alias("h1"), h2.alias("h2"))
+        return let(line_key(line), of)
+
     order = ["h1", "h2", "_id", "_r1", "_r2"]
-    streamed = (keyed.select(h1.alias("h1"), h2.alias("h2"), "_id", "_r1", "_r2", "pos")
+    streamed = (_documents(docs, id_col, text_col)
+                .select("_id", "_r1", "_r2", F.posexplode(F.transform(_lines(F.col("_text")), hashed)).alias("pos", "k"))
+                .where("k.counts").select("k.h1", "k.h2", "_id", "_r1", "_r2", "pos")
                 .repartitionByRange(*order).sortWithinPartitions(*order, "pos"))
-    held = streamed.groupBy(*order).agg(F.array_sort(F.collect_set("pos")).alias("at"))
-    repeated = (held.groupBy("h1", "h2")
-                .agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("_id", "_r1", "_r2")).alias("first"))
-                .where(F.col("n_docs") >= min_docs))
-    hit = held.join(repeated.select("h1", "h2", "first"), ["h1", "h2"])
+    held = streamed.groupBy(*order).agg(F.min("pos").alias("pos"))
+    repeated = held.groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        *([F.min(F.struct("_id", "_r1", "_r2", "pos")).alias("first")] if keep == "first" else []))
+    hit = streamed.join(repeated.where(F.col("n_docs") >= min_docs), ["h1", "h2"])
     if keep == "first":
-        is_first = (F.struct("_id", "_r1", "_r2").eqNullSafe(F.col("first")))
-        hit = hit.withColumn("at", F.when(is_first, F.slice("at", 2, F.size("at"))).otherwise(F.col("at")))
-    per_doc = (hit.where(F.size("at") > 0).groupBy("_r1", "_r2")
-               .agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at")))
+        hit = hit.where(~F.struct("_id", "_r1", "_r2", "pos").eqNullSafe(F.col("first")))
+    per_doc = hit.groupBy("_r1", "_r2").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     starts = F.filter("at", lambda p, i: (i == 0) | (p - F.get("at", i - 1) > 1))
     ends = F.filter("at", lambda p, i: (i == F.size("at") - 1) | (F.get("at", i + 1) - p > 1))
     return per_doc.select("_r1", "_r2", F.arrays_zip(starts.alias("first"), ends.alias("last")).alias("drop_runs"))

@@ -7,9 +7,9 @@ A text's set is its distinct word n-grams as 64-bit hashes. Equal sets are one c
 2. Each class keeps the first ``n - ceil(t n) + l`` n-grams. ``l`` is chosen per class by estimated candidate cost:
    where the prefix meets long lists, a longer prefix is kept and more shared n-grams are required. Two linked
    classes share at least ``min(l1, l2)`` of their prefixes.
-3. Each list links its members to its least member (as many pairs as list entries); verified links give first
-   components. What remains are pairs across components: in lists of up to ``LIST_LIMIT`` members they are counted,
-   those with enough shared n-grams verified; longer lists are cut into blocks, and each task verifies one pair of
+3. Each list pairs its members with its least member (as many pairs as list entries); those that share enough are
+   verified and give first components. What remains are pairs across components: in lists of up to ``LIST_LIMIT``
+   members they are counted, those with enough shared n-grams verified; longer lists are cut into blocks, and each task verifies one pair of
    blocks by counting common n-grams in a matrix and returns a spanning forest of the links, never the pairs.
 4. Components over all links.
 
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from mercato.llm.common import broadcast_if_small, map_texts, stage
 from mercato.llm.graph import components
 
-SKETCH_BITS = 18
-MAX_MATCH = 4
+SKETCH_BITS = 20
+#: Numbers of shared n-grams that a class may ask for, as shares of its set.
+MATCH_SHARES = (0, 1 / 64, 1 / 32, 1 / 16, 1 / 8)
 #: Cost of verifying a candidate, in list entries read.
 VERIFY_COST = 20
 LIST_LIMIT = 64
@@ -82,11 +83,12 @@ def prefix(ngrams: np.ndarray, pct: int, counts: np.ndarray, noise: float) -> tu
     """(l, the n-grams of the adaptive prefix)."""
     n = len(ngrams)
     least = needed(n, pct)
+    matches = sorted({min(1 + int(n * x), least) for x in MATCH_SHARES})
     estimate = counts[_bucket(ngrams)]
-    order = np.lexsort((ngrams, estimate))[:min(n, n - least + MAX_MATCH)]
-    entries = np.cumsum(np.maximum(estimate[order] - noise, 0))
-    cost = [entries[n - least + m - 1] * (1 + VERIFY_COST / m) for m in range(1, min(MAX_MATCH, least) + 1)]
-    match = int(np.argmin(cost)) + 1
+    order = np.lexsort((ngrams, estimate))[:n - least + matches[-1]]
+    entries = np.cumsum(np.maximum(estimate[order] - noise, 0) + 1)
+    cost = [entries[n - least + m - 1] * (1 + VERIFY_COST / m) for m in matches]
+    match = matches[int(np.argmin(cost))]
     return match, ngrams[order[:n - least + match]]
 
 
@@ -107,7 +109,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, n: int, pct: int, counts: np.ndarray) -> DataFrame:
-    noise = float(np.median(counts)) + 1
+    noise = float(np.median(counts))
 
     def start():
         words = _Words()
@@ -123,13 +125,17 @@ def _prefixes(docs: DataFrame, n: int, pct: int, counts: np.ndarray) -> DataFram
         .where("node IS NOT NULL")
 
 
-def _full_sets(docs: DataFrame, n: int) -> DataFrame:
+def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(cls, grams) of the wanted classes (cls, node, _id), worked out again from the texts."""
     def start():
         words = _Words()
         return lambda texts: ({"node": node_of(s) if len(s) else None, "grams": s.view(np.int64)}
                               for s in (ngram_set(t, n, words) for t in texts))
 
-    return map_texts(docs, "_text", [], start, {"node": "binary", "grams": "array<long>"}).where("node IS NOT NULL")
+    wanted = stage(wanted.withColumnRenamed("node", "want"), "wanted")
+    texts = docs.join(broadcast_if_small(wanted, BROADCAST_IDS), "_id")
+    made = map_texts(texts, "_text", ["cls", "want"], start, {"node": "binary", "grams": "array<long>"})
+    return stage(made.where("node = want").select("cls", "grams"), "full-sets")
 
 
 def _linked(common: Column, na: Column, nb: Column, pct: int) -> Column:
@@ -223,42 +229,47 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     classes = stage(_prefixes(own, n, pct, counts).dropDuplicates(["node"])
                     .withColumn("cls", F.monotonically_increasing_id()), "prefixes")
-    entries = classes.select("cls", "n", "l", F.explode("grams").alias("gram"))
-    lists = (entries.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("cls", "n")).alias("head"))
-             .where("k > 1"))
+    rep = rows.where("n > 0").groupBy("node").agg(F.min("_id").alias("_id")).where("_id IS NOT NULL")
+    sizes = classes.select("cls", "n", "l")
+    entries = classes.select("cls", F.explode("grams").alias("gram"))
+    lists = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("cls").alias("head")).where("k > 1")
     entries = stage(entries.join(lists, "gram"), "lists")
 
-    wanted = entries.select("cls").distinct()
-    rep = rows.where("n > 0").groupBy("node").agg(F.min("_id").alias("_id"))
-    ids = classes.select("cls", "node").join(wanted, "cls").join(rep, "node").select("_id", "cls", "node")
-    ids = stage(ids.where("_id IS NOT NULL"), "candidates")
-    texts = own.join(broadcast_if_small(ids.select("_id").distinct(), BROADCAST_IDS), "_id", "left_semi")
-    sets = stage(_full_sets(texts, n).dropDuplicates(["node"]).join(ids, "node").select("cls", "grams"), "full-sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
+        return _full_sets(own, classes.select("cls", "node").join(nodes, "cls").join(rep, "node"), n)
 
-    heads = (entries.where((F.col("cls") != F.col("head.cls")) & _lengths_fit(F.col("n"), F.col("head.n"), pct))
-             .select(F.col("head.cls").alias("u"), F.col("cls").alias("v")).distinct())
-    star = stage(_verified(heads, sets, pct), "star-links")
+    def candidates(counted: DataFrame) -> DataFrame:
+        """The pairs (u, v, shared) of fitting lengths with enough shared n-grams in their prefixes."""
+        a, b = (sizes.toDF(k, f"n{k}", f"l{k}") for k in ("u", "v"))
+        fit = _lengths_fit(F.col("nu"), F.col("nv"), pct) & (F.col("shared") >= F.least("lu", "lv"))
+        return counted.join(a, "u").join(b, "v").where(fit).select("u", "v")
+
+    heads = entries.where("cls != head").groupBy(F.col("head").alias("u"), F.col("cls").alias("v")) \
+                   .agg(F.count(F.lit(1)).alias("shared"))
+    heads = stage(candidates(heads), "star-pairs")
+    star = stage(_verified(heads, sets_of(heads), pct), "star-links")
     first = components(star)
 
     placed = (entries.join(first, entries["cls"] == first["node"], "left")
-              .select("gram", "cls", "n", "l", "k", F.coalesce("component", "cls").alias("comp")))
+              .select("gram", "cls", "k", F.coalesce("component", "cls").alias("comp")))
     mixed = placed.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     placed = stage(placed.join(mixed.select("gram"), "gram", "left_semi"), "open-lists")
     short = placed.where(F.col("k") <= LIST_LIMIT)
     a, b = short.alias("a"), short.alias("b")
-    cand = (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.cls") < F.col("b.cls"))
-                   & (F.col("a.comp") != F.col("b.comp")) & _lengths_fit(F.col("a.n"), F.col("b.n"), pct))
-            .groupBy(F.col("a.cls").alias("u"), F.col("b.cls").alias("v"))
-            .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("a.l", "b.l")).alias("l"))
-            .where("shared >= l").select("u", "v"))
-    cross = _verified(cand, sets, pct)
+    met = (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.cls") < F.col("b.cls"))
+                  & (F.col("a.comp") != F.col("b.comp")))
+           .groupBy(F.col("a.cls").alias("u"), F.col("b.cls").alias("v")).agg(F.count(F.lit(1)).alias("shared")))
+    cross = stage(candidates(met).join(heads, ["u", "v"], "left_anti"), "cross-pairs")
+    crossed = stage(_verified(cross, sets_of(cross), pct), "cross-links")
     long_lists = placed.where(F.col("k") > LIST_LIMIT).select("gram", "cls", "comp", "k")
-    more = stage(cross.unionByName(_block_links(long_lists, sets, pct)), "cross-links")
-    linked = components(star.unionByName(more))
+    ends = long_lists.select(F.col("cls").alias("u"), F.col("cls").alias("v"))
+    blocked = stage(_block_links(long_lists, sets_of(ends), pct), "block-links")
+    linked = components(star.unionByName(crossed).unionByName(blocked))
 
     linked = linked.withColumnRenamed("node", "_cls")
     of_class = classes.select("cls", "node").join(linked, F.col("cls") == F.col("_cls"), "left")
-    of_class = of_class.select("node", F.coalesce("component", "cls").alias("comp")).join(rep, "node")
+    of_class = of_class.select("node", F.coalesce("component", "cls").alias("comp")).join(rep, "node", "left")
     least = of_class.groupBy("comp").agg(F.min("_id").alias("component_id"))
     of_node = of_class.join(least, "comp").select("node", "component_id")
     out = rows.join(of_node, "node", "left")

@@ -108,6 +108,18 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                      finish=lambda work: [{"n": -1, "node": None, "sketch": work.counts}])
 
 
+def _sketch(found: DataFrame) -> np.ndarray:
+    """The summed n-gram counts; the driver gets one number per bucket, in a few hundred rows."""
+    summed = (found.where("sketch IS NOT NULL").select(F.posexplode("sketch").alias("at", "x"))
+              .groupBy("at").agg(F.sum("x").alias("x")))
+    chunks = summed.groupBy(F.shiftright("at", 12).alias("chunk")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("x"))
+    counts = np.zeros((1 << SKETCH_BITS - 12, 1 << 12), dtype=np.int64)
+    for r in chunks.toLocalIterator():
+        counts[r["chunk"]] = r["x"]
+    return counts.ravel()
+
+
 def _prefixes(docs: DataFrame, n: int, pct: int, counts: np.ndarray) -> DataFrame:
     noise = float(np.median(counts))
 
@@ -221,10 +233,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, n_shingles, component_id) of every row; two texts link at ``pct`` percent Jaccard similarity or more."""
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     found = stage(_sets(own, n), "ngram-sets")
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for at, x in (found.where("sketch IS NOT NULL").select(F.posexplode("sketch").alias("at", "x"))
-                  .groupBy("at").agg(F.sum("x")).toPandas().itertuples(index=False)):
-        counts[at] = x
+    counts = _sketch(found)
     rows = found.where("n >= 0").select("_id", "n", "node")
 
     classes = stage(_prefixes(own, n, pct, counts).dropDuplicates(["node"])

@@ -35,7 +35,7 @@ from mercato.llm.graph import components
 
 SKETCH_BITS = 20
 #: Numbers of shared n-grams that a class may ask for, as shares of its set.
-MATCH_SHARES = (0, 1 / 64, 1 / 32, 1 / 16, 1 / 8)
+MATCH_SHARES = (1 / 16, 1 / 12, 1 / 8, 1 / 6)
 #: Cost of verifying a candidate, in list entries read.
 VERIFY_COST = 20
 LIST_LIMIT = 64
@@ -243,33 +243,37 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     entries = classes.select("cls", F.explode("grams").alias("gram"))
     lists = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("cls").alias("head")).where("k > 1")
     entries = stage(entries.join(lists, "gram"), "lists")
+    # a partner asks for at least this many shared n-grams; a class with fewer in all its lists has no partner
+    asked = 1 + F.floor(F.col("n") * F.lit(pct) / 100 * F.lit(MATCH_SHARES[0]))
+    hopeful = (entries.groupBy("cls").agg(F.count(F.lit(1)).alias("t")).join(sizes, "cls")
+               .where(F.col("t") >= asked).select("cls", "n", "l"))
+    entries = stage(entries.join(hopeful, "cls"), "entries")
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
         return _full_sets(own, classes.select("cls", "node").join(nodes, "cls").join(rep, "node"), n)
 
-    def candidates(counted: DataFrame) -> DataFrame:
-        """The pairs (u, v, shared) of fitting lengths with enough shared n-grams in their prefixes."""
-        a, b = (sizes.toDF(k, f"n{k}", f"l{k}") for k in ("u", "v"))
-        fit = _lengths_fit(F.col("nu"), F.col("nv"), pct) & (F.col("shared") >= F.least("lu", "lv"))
-        return counted.join(a, "u").join(b, "v").where(fit).select("u", "v")
-
-    heads = entries.where("cls != head").groupBy(F.col("head").alias("u"), F.col("cls").alias("v")) \
-                   .agg(F.count(F.lit(1)).alias("shared"))
-    heads = stage(candidates(heads), "star-pairs")
+    heads = (entries.where("cls != head").groupBy(F.col("head").alias("u"), F.col("cls").alias("v"))
+             .agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("nv"))
+             # the head's l is not known here: the least that one of a fitting length can ask for
+             .where(F.col("shared") >= 1 + F.floor(F.col("nv") * F.lit(pct) / 100 * F.lit(MATCH_SHARES[0]))))
+    fit = _lengths_fit(F.col("nu"), F.col("nv"), pct)
+    heads = stage(heads.join(sizes.select(F.col("cls").alias("u"), F.col("n").alias("nu")), "u").where(fit)
+                  .select("u", "v"), "star-pairs")
     star = stage(_verified(heads, sets_of(heads), pct), "star-links")
     first = components(star)
 
     placed = (entries.join(first, entries["cls"] == first["node"], "left")
-              .select("gram", "cls", "k", F.coalesce("component", "cls").alias("comp")))
+              .select("gram", "cls", "n", "l", "k", F.coalesce("component", "cls").alias("comp")))
     mixed = placed.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     placed = stage(placed.join(mixed.select("gram"), "gram", "left_semi"), "open-lists")
     short = placed.where(F.col("k") <= LIST_LIMIT)
     a, b = short.alias("a"), short.alias("b")
     met = (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.cls") < F.col("b.cls"))
-                  & (F.col("a.comp") != F.col("b.comp")))
-           .groupBy(F.col("a.cls").alias("u"), F.col("b.cls").alias("v")).agg(F.count(F.lit(1)).alias("shared")))
-    cross = stage(candidates(met).join(heads, ["u", "v"], "left_anti"), "cross-pairs")
+                  & (F.col("a.comp") != F.col("b.comp")) & _lengths_fit(F.col("a.n"), F.col("b.n"), pct))
+           .groupBy(F.col("a.cls").alias("u"), F.col("b.cls").alias("v"))
+           .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("a.l", "b.l")).alias("l")).where("shared >= l"))
+    cross = stage(met.select("u", "v").join(heads, ["u", "v"], "left_anti"), "cross-pairs")
     crossed = stage(_verified(cross, sets_of(cross), pct), "cross-links")
     long_lists = placed.where(F.col("k") > LIST_LIMIT).select("gram", "cls", "comp", "k")
     ends = long_lists.select(F.col("cls").alias("u"), F.col("cls").alias("v"))

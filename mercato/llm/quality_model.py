@@ -152,11 +152,11 @@ def train(sample: DataFrame) -> Model:
     """Fit on the bounded rows of ``training_sample``; every fifth row is kept out to fit the curve."""
     def start():
         words = _Words()
-        return lambda texts: ({"row": features(t, words).tolist()} for t in texts)
+        return lambda texts: ({"row": features(t, words).tobytes()} for t in texts)
 
-    got = map_texts(sample, "_text", ["_order", "_label"], start, {"row": "array<int>"}).toPandas()
+    got = map_texts(sample, "_text", ["_order", "_label"], start, {"row": "binary"}).toPandas()
     got = got.sort_values("_order", kind="stable")
-    rows = [np.asarray(r, dtype=np.int32) for r in got["row"]]
+    rows = [np.frombuffer(r, dtype=np.int32) for r in got["row"]]
     y = got["_label"].to_numpy(dtype=np.int64)
     zero = np.zeros(1 << BITS)
     if len(set(y.tolist())) < 2:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import StringType
 
 from ..functions import scalar as S
 from .rank import exact_quantiles
@@ -129,16 +129,13 @@ def inverse_log(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # -- C15, C16 ---------------------------------------------------------------
 def trim_extremes(df: DataFrame, cols: Sequence[str], q: float = 0.99, require: Sequence[str] = ("country",)) -> DataFrame:
     """Keep rows where every column is > 0 and below its q-quantile, and the
-    ``require`` columns are present (C15). Quantiles are taken over the
-    positive values, as the reference filters positives first."""
-    positive = df
-    for c in cols:
-        positive = positive.where(F.col(c) > 0)
-    qs = exact_quantiles(positive, cols, [q]).groupBy().pivot("column", list(cols)).agg(F.first("value"))
+    ``require`` columns are present (C15). Quantiles are taken over all
+    rows, returns included."""
+    qs = exact_quantiles(df, cols, [q]).groupBy().pivot("column", list(cols)).agg(F.first("value"))
     qs = qs.select(*[F.col(c).alias(f"_q_{c}") for c in cols])
-    out = positive.crossJoin(F.broadcast(qs))
+    out = df.crossJoin(F.broadcast(qs))
     for c in cols:
-        out = out.where(F.col(c) < F.col(f"_q_{c}"))
+        out = out.where((F.col(c) > 0) & (F.col(c) < F.col(f"_q_{c}")))
     for r in require:
         out = out.where(F.col(r).isNotNull())
     return out.drop(*[f"_q_{c}" for c in cols])
@@ -178,8 +175,3 @@ def clean(df: DataFrame, keep_returns: bool = True, impute: bool = True, use_log
     if use_log:
         out = add_log(out)
     return out
-
-
-def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    """Names of numeric columns, optionally without some."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]

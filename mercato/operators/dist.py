@@ -138,10 +138,9 @@ def sales_line(df: DataFrame, country: str | None = None, ts: str = "invoice_dat
     return rows.groupBy(F.to_date(ts).alias("day")).agg(F.sum(amount).cast("double").alias("sales"))
 
 
-def parallel_profile(df: DataFrame, feats: Sequence[str], key: str, label: str = "cluster", n: int = 1000,
-                     seed: int = 42) -> DataFrame:
-    """Long (key, cluster, feature, value) rows of a capped sample."""
-    s = sample_cap(df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats]), n, key, seed)
+def parallel_profile(df: DataFrame, feats: Sequence[str], key: str, label: str = "cluster") -> DataFrame:
+    """Long (key, cluster, feature, value) rows of every row."""
+    s = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats])
     return s.unpivot([key, label], list(feats), "feature", "value")
 
 

@@ -106,15 +106,16 @@ def h6_pair_sample(spark, sf_dir):
 
 
 @register("h7_scatter_sample", "H7, C15, W10", V.sql("""
-, pos AS (SELECT * FROM sales_lines WHERE quantity > 0 AND sales > 0),
-q AS (SELECT quantile_cont(quantity, 0.99) AS q_qty, quantile_cont(CAST(sales AS DOUBLE), 0.99) AS q_sales FROM pos),
-t AS (SELECT row_key, quantity, CAST(sales AS DOUBLE) AS sales, country FROM pos, q
-      WHERE quantity < q_qty AND CAST(sales AS DOUBLE) < q_sales AND country IS NOT NULL)
-SELECT row_key, quantity, sales, country FROM t ORDER BY md5(concat_ws('|', row_key, '42')) LIMIT 2000""",
-                                                      SALES_LINES_SQL))
+, q AS (SELECT quantile_cont(quantity, 0.99) AS q_qty, quantile_cont(unit_price, 0.99) AS q_price,
+             quantile_cont(CAST(sales AS DOUBLE), 0.99) AS q_sales FROM sales_lines),
+t AS (SELECT row_key, quantity, unit_price, CAST(sales AS DOUBLE) AS sales, country FROM sales_lines, q
+      WHERE quantity > 0 AND quantity < q_qty AND unit_price > 0 AND unit_price < q_price
+        AND sales > 0 AND CAST(sales AS DOUBLE) < q_sales AND country IS NOT NULL)
+SELECT row_key, quantity, unit_price, sales, country FROM t
+ORDER BY md5(concat_ws('|', row_key, '42')) LIMIT 2000""", SALES_LINES_SQL))
 def h7_scatter_sample(spark, sf_dir):
-    t = C.trim_extremes(_lines(spark, sf_dir), ["quantity", "sales"])
-    return sample_cap(t.select("row_key", "quantity", "sales", "country"), 2000, "row_key")
+    t = C.trim_extremes(_lines(spark, sf_dir), ["quantity", "unit_price", "sales"])
+    return sample_cap(t.select("row_key", "quantity", "unit_price", "sales", "country"), 2000, "row_key")
 
 
 @register("h8_sales_line", "H8, C16", V.sql("""
@@ -124,14 +125,12 @@ def h8_sales_line(spark, sf_dir):
     return D.sales_line(V.lines(spark, sf_dir), "NATION_3")
 
 
-@register("h10_parallel_profile", "H10, W10", V.sql("""
-, s AS (SELECT customer_id, cluster, CAST(total_spent AS DOUBLE) AS total_spent, CAST(n_lines AS DOUBLE) AS n_lines,
-               CAST(recency_days AS DOUBLE) AS recency_days
-        FROM labelled ORDER BY md5(concat_ws('|', CAST(customer_id AS VARCHAR), '42')) LIMIT 1000)
+@register("h10_parallel_profile", "H10", V.sql(f"""
+, s AS (SELECT customer_id, cluster, {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in V.FEATURES)} FROM labelled)
 SELECT customer_id, cluster, feature, round(value, 6) AS value
-FROM (UNPIVOT s ON total_spent, n_lines, recency_days INTO NAME feature VALUE value)""", *LABELLED_SQL))
+FROM (UNPIVOT s ON {", ".join(V.FEATURES)} INTO NAME feature VALUE value)""", *LABELLED_SQL))
 def h10_parallel_profile(spark, sf_dir):
-    p = D.parallel_profile(labelled(spark, sf_dir), ["total_spent", "n_lines", "recency_days"], "customer_id")
+    p = D.parallel_profile(labelled(spark, sf_dir), list(V.FEATURES), "customer_id")
     return p.withColumn("value", F.round("value", 6))
 
 

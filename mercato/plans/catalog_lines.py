@@ -129,14 +129,15 @@ def c9_c10_log_roundtrip(spark, sf_dir):
 
 
 @register("c15_trim_extremes", "C15", V.sql("""
-, pos AS (SELECT * FROM sales_lines WHERE quantity > 0 AND sales > 0),
-q AS (SELECT quantile_cont(quantity, 0.99) AS q_qty, quantile_cont(CAST(sales AS DOUBLE), 0.99) AS q_sales FROM pos)
-SELECT row_key, quantity, CAST(sales AS DOUBLE) AS sales
-FROM pos, q WHERE quantity < q_qty AND CAST(sales AS DOUBLE) < q_sales AND country IS NOT NULL
+, q AS (SELECT quantile_cont(quantity, 0.99) AS q_qty, quantile_cont(unit_price, 0.99) AS q_price,
+             quantile_cont(CAST(sales AS DOUBLE), 0.99) AS q_sales FROM sales_lines)
+SELECT row_key, quantity, unit_price, CAST(sales AS DOUBLE) AS sales
+FROM sales_lines, q WHERE quantity > 0 AND quantity < q_qty AND unit_price > 0 AND unit_price < q_price
+  AND sales > 0 AND CAST(sales AS DOUBLE) < q_sales AND country IS NOT NULL
 """, SALES_LINES_SQL))
 def c15_trim_extremes(spark, sf_dir):
     df = V.lines(spark, sf_dir).withColumn("sales", F.col("sales").cast("double"))
-    return C.trim_extremes(df, ["quantity", "sales"]).select("row_key", "quantity", "sales")
+    return C.trim_extremes(df, ["quantity", "unit_price", "sales"]).select("row_key", "quantity", "unit_price", "sales")
 
 
 @register("c16_filter_country", "C16", V.sql("""

@@ -8,9 +8,9 @@ date filter reads only the matching folders.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -48,25 +48,27 @@ def read_sales(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
                date_formats=DATE_FORMATS, schema: StructType = CSV_SCHEMA) -> DataFrame:
     """Transactions CSV → line table (S1). The path must exist and end in
     ``.csv`` (a folder of part files named ``*.csv`` is accepted); otherwise
-    a ``ValueError`` names the problem. Unparseable dates become NULL."""
+    a ``ValueError`` names the problem. A quote inside a quoted field is
+    doubled. Unparseable dates become NULL."""
     if not path.lower().rstrip("/").endswith(".csv"):
         raise ValueError(f"{path!r} is not a .csv path")
-    local = path[len("file:"):] if path.startswith("file:") else (None if ":" in path.split("/")[0] else path)
-    if local is not None and not os.path.exists(local):
-        raise ValueError(f"{path!r} does not exist")
-    raw = spark.read.csv(path, header=True, schema=schema, encoding=encoding, mode="PERMISSIVE")
+    try:
+        raw = spark.read.csv(path, header=True, schema=schema, encoding=encoding, mode="PERMISSIVE",
+                             quote='"', escape='"')
+    except AnalysisException as e:
+        raise ValueError(f"{path!r} does not exist or cannot be read") from e
     out = raw.select(*[F.col(src).alias(dst) for src, dst in CSV_COLUMNS.items()])
     when = F.coalesce(*[parse_time("invoice_date", f) for f in date_formats])
     return out.withColumn("invoice_date", when) \
         .withColumn("customer_id", F.col("customer_id").cast("long"))
 
 
-def write_sales_csv(df: DataFrame, path: str) -> None:
-    """Line table → transactions CSV with the reference's header."""
+def write_sales_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
+    """Line table → transactions CSV with the header and encoding that ``read_sales`` expects."""
     back = {v: k for k, v in CSV_COLUMNS.items()}
     out = df.select(*[F.col(c).alias(back[c]) for c in CSV_COLUMNS.values()]) \
         .withColumn("InvoiceDate", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss"))
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").csv(path, header=True, encoding=encoding, quote='"', escape='"')
 
 
 def write_clean(df: DataFrame, path: str, partition_by=("year", "month")) -> None:

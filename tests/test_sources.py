@@ -24,6 +24,17 @@ def test_csv_roundtrip_and_checks(spark):
         Fs.read_sales(spark, os.path.join(d, "lines.txt"))
 
 
+def test_csv_quotes_commas_and_accents(spark):
+    d = tempfile.mkdtemp(prefix="mercato-csv-")
+    path = os.path.join(d, "q.csv")
+    rows = [(1, 'BOX, "LARGE" RED'), (2, "café à l'eau"), (3, 'a "b"')]
+    lines = sales_lines(spark, SF_SMALL).limit(1).drop("description", "invoice_no") \
+        .crossJoin(spark.createDataFrame(rows, "invoice_no long, description string"))
+    Fs.write_sales_csv(lines.withColumn("sales", F.col("sales").cast("double")), path)
+    back = {int(r["invoice_no"]): r["description"] for r in Fs.read_sales(spark, path).collect()}
+    assert back == dict(rows)
+
+
 def test_json_roundtrip(spark):
     df = spark.createDataFrame([(1, 2.5, "x")], "a long, b double, c string")
     assert Fs.from_json_rows(Fs.to_json_rows(df), df.schema).collect() == df.collect()

@@ -67,4 +67,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_warc, op4_quality_model, op5_decontamination,
                                    op6_quality_rules, op7_html_text, op8_bpe, op9_ngram_join, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+
+ORACLES: dict[str, str] = {"op1_line_dedup": """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), r AS (SELECT key AS repeated FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+f AS (SELECT k.*, repeated IS NOT NULL AS dropped FROM k LEFT JOIN r ON key = repeated)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(dropped::INT) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM f GROUP BY doc_id"""}

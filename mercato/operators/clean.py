@@ -74,12 +74,15 @@ def impute_median(df: DataFrame, cols: Sequence[str], only_where_null: bool = Tr
     """Fill NULLs of each column with the column's exact median (C4), only
     for columns that hold NULLs, as the reference does.
 
-    Imputed columns become double, since a median can fall between two
-    integers. The median row is a single row, so broadcasting it is safe.
+    All ``cols`` become double, whether or not this batch holds a NULL, since
+    a median can fall between two integers: the schema does not depend on the
+    rows. The median row is a single row, so broadcasting it is safe.
     """
     cols = [c for c in cols if c in df.columns]
+    asked = cols
     if only_where_null:
         cols = columns_with_nulls(df, cols)
+    df = df.withColumns({c: F.col(c).cast("double") for c in asked})
     if not cols:
         return df
     med = medians(df, cols).select(*[F.col(c).alias(f"_med_{c}") for c in cols])

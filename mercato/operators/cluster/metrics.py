@@ -1,24 +1,17 @@
 """Internal clustering metrics (G5-G9, G11), scikit-learn definitions.
 
 Features are plain double columns. Every metric is built from per-cluster
-aggregates (k rows, broadcast) and one pass over the labelled rows.
-Silhouette needs all pairwise distances, so it runs on a capped sample
-(``sample_cap``/``stratified_sample``): the sample, at most ``max_rows``
-rows, is broadcast and every task scores its share of sample rows against it
-in Arrow batches; pairs are never materialised as rows.
+aggregates (k rows, broadcast) and one pass over the labelled rows, the
+silhouette of all rows included; row pairs are never formed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SILHOUETTE_MAX_ROWS = 10_000
-
 
 def _sq_dist(feats: Sequence[str], prefix: str = "_c_"):
     terms = [(F.col(f) - F.col(f"{prefix}{f}")) ** 2 for f in feats]
@@ -90,89 +83,30 @@ def davies_bouldin(df: DataFrame, feats: Sequence[str], label: str = "cluster")
          .otherwise(F.col("_db")).alias("davies_bouldin"))
 
 
-def _silhouette_partition(sample_x: np.ndarray, sample_y: np.ndarray, feats: list[str], label: str,
-                          key: str, chunk: int = 512):
-    labels = np.unique(sample_y)
-    sizes = {lab: int((sample_y == lab).sum()) for lab in labels}
-
-    def run(batches):
-        for pdf in batches:
-            x = pdf[feats].to_numpy(dtype=float)
-            y = pdf[label].to_numpy()
-            s_out = np.zeros(len(pdf))
-            for lo in range(0, len(pdf), chunk):
-                xc = x[lo:lo + chunk]
-                d = np.sqrt(((xc[:, None, :] - sample_x[None, :, :]) ** 2).sum(axis=2))
-                sums = np.stack([d[:, sample_y == lab].sum(axis=1) for lab in labels], axis=1)
-                for i in range(len(xc)):
-                    own = y[lo + i]
-                    j = int(np.nonzero(labels == own)[0][0])
-                    n_own = sizes[own]
-                    if n_own <= 1 or len(labels) < 2:
-                        s_out[lo + i] = 0.0
-                        continue
-                    a = sums[i, j] / (n_own - 1)
-                    others = [sums[i, m] / sizes[lab] for m, lab in enumerate(labels) if lab != own]
-                    b = min(others)
-                    s_out[lo + i] = (b - a) / max(a, b) if max(a, b) > 0 else 0.0
-            yield pd.DataFrame({key: pdf[key], label: y, "silhouette": s_out})
-    return run
-
-
-def silhouette_samples(sample: DataFrame, feats: Sequence[str], label: str = "cluster",
-                       key: str = "customer_id", max_rows: int = SILHOUETTE_MAX_ROWS) -> DataFrame:
-    """Per-row silhouette over a capped sample (G6): ``(key, label, silhouette)``.
-
-    ``sample`` must already be capped (``sample_cap`` / ``stratified_sample``);
-    more than ``max_rows`` rows is refused rather than silently truncated.
-    """
-    feats = list(feats)
-    rows = sample.select(key, label, *feats).dropna()
-    local = rows.limit(max_rows + 1).toPandas()
-    if len(local) > max_rows:
-        raise ValueError(f"silhouette sample has more than {max_rows} rows; cap it first")
-    sx = local[feats].to_numpy(dtype=float)
-    sy = local[label].to_numpy()
-    bx = rows.sparkSession.sparkContext.broadcast((sx, sy))
-
-    def fn(batches):
-        x, y = bx.value
-        yield from _silhouette_partition(x, y, feats, label, key)(batches)
-
-    key_type = rows.schema[key].dataType.simpleString()
-    lab_type = rows.schema[label].dataType.simpleString()
-    return rows.mapInPandas(fn, f"{key} {key_type}, {label} {lab_type}, silhouette double")
-
-
-def silhouette(sample: DataFrame, feats: Sequence[str], label: str = "cluster", key: str = "customer_id",
-               max_rows: int = SILHOUETTE_MAX_ROWS) -> DataFrame:
-    """Mean silhouette of a capped sample (G5); NULL with fewer than two labels."""
-    per = silhouette_samples(sample, feats, label, key, max_rows)
-    return per.agg(
-        F.when(F.countDistinct(label) < 2, F.lit(None).cast("double"))
-         .otherwise(F.avg("silhouette")).alias("silhouette"))
-
-
-def silhouette_sq_full(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
-    """Silhouette with squared Euclidean distance over all rows (the measure
-    Spark's ``ClusteringEvaluator`` computes), in O(n·k).
+def silhouette_samples(df: DataFrame, feats: Sequence[str], label: str = "cluster",
+                       key: str = "customer_id") -> DataFrame:
+    """Silhouette of every row with squared Euclidean distance (G6), the
+    measure Spark's ``ClusteringEvaluator`` averages, in O(n·k):
+    ``(key, label, silhouette)``.
 
     The mean squared distance from x to cluster C is
     ‖x‖² − 2·x·μ_C + mean_C(‖y‖²), so one k-row table of cluster sizes,
     means and mean squared norms (broadcast) replaces all pairs. The own
     cluster excludes the point itself: a = n_C/(n_C − 1) · d(x, C); a
-    single-point cluster scores 0."""
+    single-point cluster scores 0. A row with a missing feature or label
+    keeps its place with a NULL score and counts in no cluster."""
     feats = list(feats)
     norm = sum((F.col(f) * F.col(f) for f in feats), F.lit(0.0))
-    rows = df.select(label, *[F.col(f).cast("double").alias(f) for f in feats]).dropna().withColumn("_nx", norm)
-    stats = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.avg("_nx").alias("_ny"),
+    every = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats]).withColumn("_nx", norm)
+    whole = F.col("_nx").isNotNull() & F.col(label).isNotNull()
+    stats = every.where(whole).groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.avg("_nx").alias("_ny"),
                                     *[F.avg(f).alias(f"_m_{f}") for f in feats])
     packed = stats.select(F.collect_list(F.struct(F.col(label).alias("c"), "_n", "_ny",
                                                   F.array(*[F.col(f"_m_{f}") for f in feats]).alias("m")))
                           .alias("_cs"))  # one row holding k entries
     x = F.array(*[F.col(f) for f in feats])
     dot = lambda m: F.aggregate(F.zip_with(x, m, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    with_d = rows.crossJoin(F.broadcast(packed)).withColumn(
+    with_d = every.crossJoin(F.broadcast(packed)).withColumn(
         "_d", F.transform("_cs", lambda s: F.struct(s["c"].alias("c"), s["_n"].alias("n"),
                                                     (F.col("_nx") - 2 * dot(s["m"]) + s["_ny"]).alias("d"))))
     own = F.filter("_d", lambda s: s["c"] == F.col(label))[0]
@@ -180,6 +114,11 @@ def silhouette_sq_full(df: DataFrame, feats: Sequence[str], label: str = "cluste
     a = F.when(own["n"] <= 1, F.lit(0.0)).otherwise(own["d"] * own["n"] / (own["n"] - 1))
     b = F.array_min(F.transform(others, lambda s: s["d"]))
     s = F.when(own["n"] <= 1, F.lit(0.0)).when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(F.lit(0.0))
-    per = with_d.select(label, s.alias("_s"))
+    return with_d.select(key, label, F.when(whole, s).alias("silhouette"))
+
+
+def silhouette(df: DataFrame, feats: Sequence[str], label: str = "cluster", key: str = "customer_id") -> DataFrame:
+    """Mean of ``silhouette_samples`` (G5); NULL with fewer than two labels."""
+    per = silhouette_samples(df, feats, label, key).where("silhouette IS NOT NULL")
     return per.agg(F.when(F.countDistinct(label) < 2, F.lit(None).cast("double"))
-                   .otherwise(F.avg("_s")).alias("silhouette_sq_full"))
+                   .otherwise(F.avg("silhouette")).alias("silhouette"))

@@ -1,9 +1,7 @@
 """Choosing and comparing clusterers.
 
-Every model labels all rows. The silhouette is scored on a deterministic
-sample of at most 10,000 rows (the reference's cap), stratified by label as
-the reference does for K-Means; CH, DB and inertia are per-cluster
-aggregates and use all rows.
+Every model labels all rows, and every metric is built from per-cluster
+aggregates over all rows.
 """
 
 from __future__ import annotations
@@ -13,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sample import stratified_sample
 from . import metrics as Me
 from . import models as M
 from .dbscan import dbscan
@@ -40,12 +37,11 @@ def fit_labels(df: DataFrame, feats: Sequence[str], key: str, algorithm: str = "
 
 
 def score(df: DataFrame, labels: DataFrame, feats: Sequence[str], key: str, model: str,
-          with_inertia: bool = False, sample_n: int = Me.SILHOUETTE_MAX_ROWS) -> DataFrame:
-    """One metrics row for a labelling: silhouette (capped stratified sample),
-    CH, DB, inertia (K-Means only, as in the reference)."""
+          with_inertia: bool = False) -> DataFrame:
+    """One metrics row for a labelling: silhouette, CH, DB, inertia (K-Means
+    only, as in the reference), each over all rows."""
     rows = df.select(key, *feats).join(labels, key)
-    sample = stratified_sample(rows, "cluster", sample_n, key)
-    out = Me.silhouette(sample, feats, key=key) \
+    out = Me.silhouette(rows, feats, key=key) \
         .crossJoin(Me.calinski_harabasz(rows, feats)).crossJoin(Me.davies_bouldin(rows, feats))
     inertia = Me.inertia(rows, feats) if with_inertia else \
         df.sparkSession.createDataFrame([(None,)], "inertia double")
@@ -55,11 +51,11 @@ def score(df: DataFrame, labels: DataFrame, feats: Sequence[str], key: str, mode
 
 def compare_clusterers(df: DataFrame, feats: Sequence[str], key: str, k: int = 4, seed: int = 42) -> DataFrame:
     """All four clusterers with their metrics (G13), one row per model."""
-    cached = df.select(key, *feats).cache()
+    rows = df.select(key, *feats).checkpoint(eager=True)
     parts = []
     for alg in ALGORITHMS:
-        lab = fit_labels(cached, feats, key, alg, k, seed).checkpoint(eager=True)
-        parts.append(score(cached, lab, feats, key, alg, with_inertia=(alg == "kmeans")))
+        lab = fit_labels(rows, feats, key, alg, k, seed).checkpoint(eager=True)
+        parts.append(score(rows, lab, feats, key, alg, with_inertia=(alg == "kmeans")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,10 +1,9 @@
 """Ward agglomerative clustering over all rows.
 
-Rows are first summarised into at most ``max_items`` weighted micro-clusters
-by Spark K-Means (each carries its size and centroid); Ward merges then run
-on those summaries, whose number is fixed and does not grow with the data.
-With no more rows than ``max_items`` every row is its own item and the
-result is exact Ward. The merge cost of clusters i, j is
+Rows are first summarised into at most ``micro_clusters`` weighted
+micro-clusters by Spark K-Means (each carries its size and centroid); Ward
+merges then run on those summaries, whose number is a parameter and does not
+grow with the data. The path is the same at every size. The merge cost of clusters i, j is
 n_i n_j / (n_i + n_j) · ‖c_i − c_j‖²; the height reported is √(2 · cost),
 which equals the Euclidean distance for two single points.
 """
@@ -19,19 +18,14 @@ from pyspark.sql import functions as F
 
 from .models import kmeans
 
-MAX_ITEMS = 500
+MICRO_CLUSTERS = 500
 
 
-def _summaries(df: DataFrame, feats: Sequence[str], key: str, max_items: int, seed: int):
+def _summaries(df: DataFrame, feats: Sequence[str], key: str, micro_clusters: int, seed: int):
     """(item table with key → item id, item sizes, item centroids)."""
-    n = df.count()
-    if n <= max_items:
-        items = df.select(key, *feats).withColumn("_item", F.col(key))
-    else:
-        lab, _ = kmeans(df.select(key, *feats), feats, k=max_items, seed=seed, label="_item")
-        items = lab
+    items, _ = kmeans(df.select(key, *feats), feats, k=micro_clusters, seed=seed, label="_item")
     summ = items.groupBy("_item").agg(F.count(F.lit(1)).alias("_n"), *[F.avg(f).alias(f) for f in feats]) \
-        .orderBy("_item").collect()  # at most max_items rows
+        .orderBy("_item").collect()  # at most micro_clusters rows
     ids = [r["_item"] for r in summ]
     sizes = np.array([r["_n"] for r in summ], dtype=float)
     cents = np.array([[r[f] for f in feats] for r in summ], dtype=float)
@@ -79,15 +73,21 @@ def cut_tree(m: int, merges, k: int) -> np.ndarray:
     return np.array([order[r] for r in roots])
 
 
-def ward(df: DataFrame, feats: Sequence[str], key: str, k: int = 4, max_items: int = MAX_ITEMS, seed: int = 42,
-         label: str = "cluster"):
-    """Labels ``(key, label)`` and the merge log as a DataFrame."""
+def ward(df: DataFrame, feats: Sequence[str], key: str, k: int = 4, micro_clusters: int = MICRO_CLUSTERS,
+         seed: int = 42, label: str = "cluster"):
+    """Labels ``(key, label)`` and the merge log as a DataFrame (G18): one
+    merge less than there are micro-clusters. ``micro_clusters`` bounds the
+    driver's work at every size; a row with a missing feature keeps its place
+    with a NULL label."""
     spark = df.sparkSession
-    item_of, ids, sizes, cents = _summaries(df, feats, key, max_items, seed)
+    item_of, ids, sizes, cents = _summaries(df, feats, key, micro_clusters, seed)
     merges = ward_merges(sizes, cents)
     assign = cut_tree(len(ids), merges, k)
-    mapping = spark.createDataFrame([(ids[i], int(assign[i])) for i in range(len(ids))], f"_item long, {label} int")
+    mapping = spark.createDataFrame([(ids[i], int(assign[i])) for i in range(len(ids))], f"_item int, {label} int")
     labels = item_of.join(F.broadcast(mapping), "_item").select(key, label)
+    incomplete = df.where(" OR ".join(f"`{f}` IS NULL" for f in feats)) \
+        .select(key, F.lit(None).cast("int").alias(label))
+    labels = labels.unionByName(incomplete)
     log = spark.createDataFrame([(s, a, b, h, n) for s, (a, b, h, n) in enumerate(merges)],
                                 "step int, left long, right long, height double, size long")
     return labels, log

@@ -94,7 +94,8 @@ def forecast_arima(panel: DataFrame, keys: Sequence[str] = (), p: int = 3, d: in
     x = x.withColumn("_one", F.lit(1.0))
 
     # Stage 1: long AR → shock estimates.
-    s1_feats = ["_one", *[f"_l{i}" for i in range(1, long_ar + 1)]]
+    const = [] if d else ["_one"]  # a constant in the differences would be a drift of the levels
+    s1_feats = [*const, *[f"_l{i}" for i in range(1, long_ar + 1)]]
     s1_rows = x.where(F.col(f"_l{long_ar}").isNotNull())
     b1 = _fit(s1_rows, keys, s1_feats, "_z")
     fitted = sum((F.col("_beta")[i] * F.col(c) for i, c in enumerate(s1_feats)), F.lit(0.0))
@@ -103,7 +104,7 @@ def forecast_arima(panel: DataFrame, keys: Sequence[str] = (), p: int = 3, d: in
         e = e.withColumn(f"_e{j}", F.lag("_e", j).over(spec))
 
     # Stage 2: ARMA regression.
-    s2_feats = ["_one", *[f"_l{i}" for i in range(1, p + 1)], *[f"_e{j}" for j in range(1, q + 1)]]
+    s2_feats = [*const, *[f"_l{i}" for i in range(1, p + 1)], *[f"_e{j}" for j in range(1, q + 1)]]
     s2_rows = e.where(F.col(f"_e{q}").isNotNull()) if q else e
     b2 = _fit(s2_rows, keys, s2_feats, "_z").select(*keys, F.col("_beta").alias("_coef"))
 
@@ -127,6 +128,7 @@ def forecast_arima(panel: DataFrame, keys: Sequence[str] = (), p: int = 3, d: in
         out = []
         for c, z, ee, yy, h in zip(coef, zs, es, ys, steps):
             c = np.asarray(c, dtype=float)
+            c = np.concatenate([[0.0], c]) if d else c
             zhist = [float(v) for v in z]          # most recent first
             ehist = [float(v) for v in ee]
             ylev = [float(v) for v in yy]

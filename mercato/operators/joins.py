@@ -1,11 +1,11 @@
-"""Join helpers (J1 and the star joins of the line view; J2 is
-``forecast.evaluate.scaled_vs_unscaled``).
+"""Join helpers of the star joins of the line view (J1 is
+``cluster.models.attach_labels``, J2 ``forecast.evaluate.scaled_vs_unscaled``).
 
 ``broadcast_if_small`` is the only place a data-dependent side is
 broadcast: the side is counted up to a bound first (a bounded action that
 stops reading once the bound is passed). Within the bound it is broadcast;
-beyond it the join is a shuffled hash join with that side as the per-task
-build table, so nothing unbounded is ever sent whole to every executor.
+beyond it the join carries no hint and shuffles, with sorting that can spill,
+so nothing unbounded is ever sent whole to every executor.
 """
 
 from __future__ import annotations
@@ -28,9 +28,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: D
         ok = bound.count() <= max_rows
     else:
         ok = fits(df, max_rows)
-    return F.broadcast(df) if ok else df.hint("shuffle_hash")
-
-
-def attach_labels(rows: DataFrame, labels: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Labels to rows by key."""
-    return rows.join(labels, on=key, how="inner")
+    return F.broadcast(df) if ok else df

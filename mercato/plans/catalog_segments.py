@@ -14,7 +14,6 @@ from ..operators.cluster import compare as Cmp
 from ..operators.cluster import metrics as Me
 from ..operators.cluster import models as M
 from ..operators.cluster.profile import cluster_stats, rank_labels
-from ..operators.sample import sample_cap
 from . import views as V
 from .flagship import segments
 from .registry import register
@@ -126,10 +125,10 @@ def g8_davies_bouldin(spark, sf_dir):
     return _round(Me.davies_bouldin(labelled(spark, sf_dir), FEATS), ["davies_bouldin"])
 
 
+# From the definition: the mean squared distance to all other members of each cluster, pair by pair.
 SIL_SQL = f"""
-, s AS (SELECT * FROM labelled ORDER BY md5(concat_ws('|', CAST(customer_id AS VARCHAR), '42')) LIMIT 10000),
-pairs AS (SELECT a.customer_id AS id, a.cluster AS la, b.cluster AS lb, sqrt({_sq('a.', 'b.')}) AS d
-          FROM s a JOIN s b ON a.customer_id <> b.customer_id),
+, pairs AS (SELECT a.customer_id AS id, a.cluster AS la, b.cluster AS lb, {_sq('a.', 'b.')} AS d
+          FROM labelled a JOIN labelled b ON a.customer_id <> b.customer_id),
 per AS (SELECT id, la, lb, avg(d) AS md FROM pairs GROUP BY id, la, lb),
 ab AS (SELECT id, any_value(la) AS la, max(CASE WHEN la = lb THEN md END) AS a,
               min(CASE WHEN la <> lb THEN md END) AS b FROM per GROUP BY id),
@@ -138,18 +137,16 @@ sil AS (SELECT id AS customer_id, la AS cluster,
 """
 
 
-@register("g6_silhouette_samples", "G6, W10", V.sql(
+@register("g6_silhouette_samples", "G6", V.sql(
     SIL_SQL + f"SELECT customer_id, cluster, round(silhouette, {R}) AS silhouette FROM sil", *LABELLED_SQL))
 def g6_silhouette_samples(spark, sf_dir):
-    sample = sample_cap(labelled(spark, sf_dir), Me.SILHOUETTE_MAX_ROWS, "customer_id")
-    return _round(Me.silhouette_samples(sample, FEATS), ["silhouette"])
+    return _round(Me.silhouette_samples(labelled(spark, sf_dir), FEATS), ["silhouette"])
 
 
-@register("g5_silhouette", "G5, G11, W10", V.sql(
+@register("g5_silhouette", "G5, G11", V.sql(
     SIL_SQL + f"SELECT round(avg(silhouette), {R}) AS silhouette FROM sil", *LABELLED_SQL))
 def g5_silhouette(spark, sf_dir):
-    sample = sample_cap(labelled(spark, sf_dir), Me.SILHOUETTE_MAX_ROWS, "customer_id")
-    return _round(Me.silhouette(sample, FEATS), ["silhouette"])
+    return _round(Me.silhouette(labelled(spark, sf_dir), FEATS), ["silhouette"])
 
 
 # -- fitted models (invariant checks) ----------------------------------------
@@ -338,4 +335,5 @@ ab AS (SELECT customer_id,
 s AS (SELECT CASE WHEN n_own <= 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END AS s FROM ab)
 SELECT round(avg(s), {R}) AS silhouette_sq_full FROM s""", *LABELLED_SQL))
 def g5_silhouette_sq_full(spark, sf_dir):
-    return _round(Me.silhouette_sq_full(labelled(spark, sf_dir), FEATS), ["silhouette_sq_full"])
+    score = Me.silhouette(labelled(spark, sf_dir), FEATS).withColumnRenamed("silhouette", "silhouette_sq_full")
+    return _round(score, ["silhouette_sq_full"])

@@ -95,7 +95,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("stock_code"),
         F.col("p_name").alias("description"),
         F.when(is_return, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("quantity", metadata=meta),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price", metadata=meta),
+        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price", metadata=meta),
         F.when(is_return, -price).otherwise(price).alias("sales"),
         F.col("o_orderdate").alias("invoice_date"),
         F.when(F.col("o_orderkey") % 4 == 0, F.lit(None).cast("bigint"))

@@ -53,11 +53,23 @@ def test_gmm_and_ward_recover_blobs(spark):
     assert same_partition({r["id"]: r["cluster"] for r in g.collect()}, truth)
     w, log = ward(df, FEATS, "id", k=4)
     assert same_partition({r["id"]: r["cluster"] for r in w.collect()}, truth)
-    assert log.count() == df.count() - 1
-    heights = [r["height"] for r in log.orderBy("step").collect()]
+    merges = log.orderBy("step").collect()
+    assert merges[-1]["size"] == df.count() and len(merges) <= df.count() - 1
+    heights = [r["height"] for r in merges]
     assert heights[-1] == max(heights)
 
 
+def test_ward_bounds_its_items_and_keeps_string_keys_and_incomplete_rows(spark):
+    df, truth = blobs(spark)
+    df = df.withColumn("id", F.concat(F.lit("c"), F.col("id")))
+    gap = spark.createDataFrame([("gap", None, 1.0)], "id string, a double, b double")
+    w, log = ward(df.unionByName(gap), FEATS, "id", k=4, micro_clusters=20)
+    got = {r["id"]: r["cluster"] for r in w.collect()}
+    assert got.pop("gap") is None
+    assert same_partition(got, {f"c{i}": t for i, t in truth.items()})
+    assert log.count() <= 19
+
+
 def _brute_dbscan(x, eps, min_samples, ids):
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
     nb = d <= eps
@@ -111,7 +123,7 @@ def test_metrics_match_numpy_definitions(spark):
     dc = np.sqrt(((cents[:, None] - cents[None]) ** 2).sum(axis=2))
     np.fill_diagonal(dc, np.inf)
     db = np.mean(np.max((s[:, None] + s[None]) / dc, axis=1))
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
     sil = []
     for i in range(len(x)):
         a = d[i, y == y[i]].sum() / ((y == y[i]).sum() - 1)
@@ -131,11 +143,15 @@ def test_metric_guard_single_label(spark):
     assert Me.silhouette(one, FEATS, key="id").first()[0] is None
 
 
-def test_silhouette_refuses_uncapped_sample(spark):
+def test_silhouette_scores_all_rows_and_keeps_incomplete_ones(spark):
     df, _ = blobs(spark, n_per=10)
     lab = df.withColumn("cluster", (F.col("id") % 2).cast("int"))
-    with pytest.raises(ValueError):
-        Me.silhouette_samples(lab, FEATS, key="id", max_rows=5)
+    gaps = spark.createDataFrame([(900, None, 1.0, 0), (901, 1.0, 1.0, None)],
+                                 "id long, a double, b double, cluster int")
+    per = {r["id"]: r["silhouette"] for r in Me.silhouette_samples(lab.unionByName(gaps), FEATS, key="id").collect()}
+    plain = {r["id"]: r["silhouette"] for r in Me.silhouette_samples(lab, FEATS, key="id").collect()}
+    assert per.pop(900) is None and per.pop(901) is None
+    assert per == pytest.approx(plain) and len(plain) == 40
 
 
 def test_stratified_sample_quotas(spark):
@@ -156,7 +172,7 @@ def test_full_squared_silhouette_matches_spark_evaluator(spark):
     from pyspark.ml.evaluation import ClusteringEvaluator
     df, _ = blobs(spark, n_per=40)
     lab = df.withColumn("cluster", (F.col("id") % 3).cast("int"))
-    ours = Me.silhouette_sq_full(lab, FEATS).first()[0]
+    ours = Me.silhouette(lab, FEATS, key="id").first()[0]
     vec = M.assemble(lab, FEATS)
     ref = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                               distanceMeasure="squaredEuclidean").evaluate(vec)

@@ -56,6 +56,14 @@ def test_arima_recovers_ar_dynamics(spark):
     assert abs(first["predicted"] - first["actual"]) < 4 * abs(y[n - 62] - train_last) + 5
 
 
+def test_arima_of_a_drifting_walk_has_no_constant(spark):
+    rng = np.random.default_rng(11)
+    y = np.cumsum(0.5 + rng.normal(0, 1, 300))
+    pred = forecast_arima(panel_from(spark, {"x": y}), ["k"]).toPandas().sort_values("day")["predicted"].to_numpy()
+    # without a constant the differences fade to zero, so the path levels off
+    assert abs(pred[-1] - pred[-10]) < 0.5 and np.isfinite(pred).all()
+
+
 def test_arima_refuses_short_series(spark):
     p = panel_from(spark, {"short": list(range(70)), "long": list(np.sin(np.arange(300) / 5))})
     keys = {r["k"] for r in forecast_arima(p, ["k"]).select("k").distinct().collect()}

@@ -20,13 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import broadcast_if_small, hash128, let
+from mercato.llm.common import broadcast_if_small, hash128, let, stage
 
 WINDOW = 8
 MIN_LITERAL = 4
 MIN_COVER = 50
 #: Rows of the benchmark side (40 bytes each) that may be broadcast.
 BROADCAST_ROWS = 500_000
+#: Row hashes (16 bytes each) that may be broadcast to filter the texts.
 BROADCAST_IDS = 1_000_000
 # Units of measure and money.
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "yard", "yards", "mile", "miles", "mg", "g", "kg",
@@ -77,29 +78,37 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return rows.join(total, F.col("item").eqNullSafe(F.col("_item"))).drop("_item")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", min_cover: int = MIN_COVER) -> DataFrame:
-    """One row for each (document, item) found: the ids, the document's row hash, windows and coverage in percent,
-    and whether slot values differ (``reparameterised``)."""
-    r1, r2 = hash128(F.col("_id"), F.col("_text"))
-    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumns({"_r1": r1, "_r2": r2})
-    bench = benchmark_windows(benchmark, item_col, item_text_col)
+def _with_hash(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    r1, r2 = hash128(F.col(id_col), F.col(text_col))
+    return docs.withColumns({"_r1": r1, "_r2": r2})
+
 
+def _found(own: DataFrame, bench: DataFrame, min_cover: int) -> DataFrame:
+    """(_r1, _r2, item, n_windows, item_windows, reparameterised) of the documents ``own`` (_text, _r1, _r2).
+
+    The hits are written once. Of the documents with hits, only the words under those hits go on, eight a row.
+    """
     windows = own.select("_r1", "_r2", F.posexplode(_windows(template_words(F.col("_text")))).alias("i", "window"))
     side = bench.select("item", "j", "window")
-    hits = windows.join(broadcast_if_small(side, BROADCAST_ROWS), "window").select("_r1", "_r2", "item", "i", "j") \
-                  .distinct()
-
-    ids = hits.select("_r1", "_r2").distinct()
-    hit_docs = (own.join(ids, ["_r1", "_r2"], "left_semi").dropDuplicates(["_r1", "_r2"])
-                .select("_r1", "_r2", plain_words(F.col("_text")).alias("doc_words")))
+    hits = stage(windows.join(broadcast_if_small(side, BROADCAST_ROWS), "window")
+                 .select("_r1", "_r2", "item", "i", "j").distinct(), "window-hits")
+
+    ids = broadcast_if_small(hits.select("_r1", "_r2").distinct(), BROADCAST_IDS)
+    at = hits.groupBy("_r1", "_r2").agg(F.collect_set("i").alias("at"))
+    texts = own.select("_r1", "_r2", "_text").join(ids, ["_r1", "_r2"], "left_semi")
+    under = let(plain_words(F.col("_text")), lambda w: F.transform(
+        "at", lambda i: F.struct(i.alias("i"), F.slice(w, i + 1, WINDOW).alias("doc_words"))))
+    # repeated rows have the same hash and the same words
+    words = (texts.join(at, ["_r1", "_r2"]).select("_r1", "_r2", F.inline(under))
+             .dropDuplicates(["_r1", "_r2", "i"]))
+    items = bench.select("item", "j", F.slice("item_words", F.col("j") + 1, WINDOW).alias("item_words"),
+                         F.slice("item_types", F.col("j") + 1, WINDOW).alias("item_types"), "item_windows")
     same = F.col("h.item").eqNullSafe(F.col("b.item")) & (F.col("h.j") == F.col("b.j"))
-    both = (hits.join(hit_docs, ["_r1", "_r2"]).alias("h")
-            .join(bench.alias("b"), same)
+    both = (hits.join(words, ["_r1", "_r2", "i"]).alias("h").join(items.alias("b"), same)
             .select("_r1", "_r2", "h.item", "i", "h.j", "doc_words", "item_words", "item_types", "item_windows"))
     slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda o: F.struct(
-        F.get("item_types", F.col("j") + o).alias("type"), F.get("item_words", F.col("j") + o).alias("a"),
-        F.get("doc_words", F.col("i") + o).alias("b"))), lambda s: s["type"].isin(NUM, NAME, UNIT))
+        F.get("item_types", o).alias("type"), F.get("item_words", o).alias("a"), F.get("doc_words", o).alias("b"))),
+        lambda s: s["type"].isin(NUM, NAME, UNIT))
     lined = (both.groupBy("_r1", "_r2", "item", (F.col("i") - F.col("j")).alias("shift"))
              .agg(F.collect_set("j").alias("js"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
                   F.first("item_windows").alias("item_windows")))
@@ -107,11 +116,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                    == F.size("slots"))
                   & (F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["b"]))))
                      == F.size("slots")))
-    found = (lined.where(one_to_one).groupBy("_r1", "_r2", "item")
-             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("js")))).cast("long").alias("n_windows"),
-                  F.first("item_windows").alias("item_windows"),
-                  F.max(F.exists("slots", lambda s: s["a"] != s["b"])).alias("reparameterised"))
-             .where(100 * F.col("n_windows") >= min_cover * F.col("item_windows")))
+    return (lined.where(one_to_one).groupBy("_r1", "_r2", "item")
+            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("js")))).cast("long").alias("n_windows"),
+                 F.first("item_windows").alias("item_windows"),
+                 F.max(F.exists("slots", lambda s: s["a"] != s["b"])).alias("reparameterised"))
+            .where(100 * F.col("n_windows") >= min_cover * F.col("item_windows")))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text", min_cover: int = MIN_COVER) -> DataFrame:
+    """One row for each (document, item) found: the ids, the document's row hash, windows and coverage in percent,
+    and whether slot values differ (``reparameterised``)."""
+    own = _with_hash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
+    found = _found(own, benchmark_windows(benchmark, item_col, item_text_col), min_cover)
     return (own.select("_id", "_r1", "_r2").join(found, ["_r1", "_r2"])
             .select(F.col("_id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows",
                     "reparameterised", "_r1", "_r2"))
@@ -120,6 +137,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col).select("_r1", "_r2").distinct()
-    r1, r2 = hash128(F.col(id_col), F.col(text_col))
-    return docs.withColumns({"_r1": r1, "_r2": r2}).join(leaks, ["_r1", "_r2"], "left_anti").drop("_r1", "_r2")
+    own = _with_hash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
+    leaks = stage(_found(own, benchmark_windows(benchmark), MIN_COVER).select("_r1", "_r2").distinct(), "leaks")
+    return _with_hash(docs, id_col, text_col).join(broadcast_if_small(leaks, BROADCAST_IDS), ["_r1", "_r2"],
+                                                   "left_anti").drop("_r1", "_r2")

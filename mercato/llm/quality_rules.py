@@ -1,7 +1,7 @@
 """Quality rules: per-document counts, then cross-document line frequency within a host.
 
 Base rules need the document alone and are computed in the scan. The second rule hashes normalised lines and counts,
-per host (``source``), in how many distinct texts a line stands. A line above both limits is boilerplate and is taken
+per host (``source``), in how many distinct texts a line stands. A line at the limit is boilerplate and is taken
 out; a document that loses more than ``max_removed`` percent of its words that way is depleted and rejected. Exact
 copies of one text count once: being copied does not make a document's own lines boilerplate.
 
@@ -19,9 +19,8 @@ from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128, let
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
-#: A line is boilerplate on a host when at least so many of its distinct texts, and so many percent of them, hold it.
+#: A line is boilerplate on a host when at least so many of its distinct texts hold it, however large the host.
 LINE_MIN_DOCS = 20
-LINE_MIN_PCT = 10
 #: Depleted: the boilerplate lines hold more than this share of the words.
 MAX_REMOVED_PCT = 80
 
@@ -96,8 +95,7 @@ def _with_unit(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
 
 
 def depleted_units(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-                   min_docs: int = LINE_MIN_DOCS, min_pct: int = LINE_MIN_PCT,
-                   max_removed_pct: int = MAX_REMOVED_PCT) -> DataFrame:
+                   min_docs: int = LINE_MIN_DOCS, max_removed_pct: int = MAX_REMOVED_PCT) -> DataFrame:
     """(_u1, _u2, boiler_words) of the distinct (host, text) pairs that boilerplate lines deplete."""
     own = _with_unit(docs.select(F.col(host_col).alias("_host"), F.col(text_col).alias("_text")), "_text", "_host")
     def hashed(line: Column) -> Column:
@@ -112,13 +110,8 @@ def depleted_units(docs: DataFrame, text_col: str = "text", host_col: str = "sou
     # held by a third of them is no hot group
     held = (lines.where("x IS NOT NULL").select("_host", "_u1", "_u2", "x.h1", "x.h2", "x.w")
             .groupBy("_host", "h1", "h2", "_u1", "_u2").agg(F.count(F.lit(1)).alias("times"), F.max("w").alias("w")))
-    hosts = own.groupBy("_host", "_u1", "_u2").agg(F.lit(1).alias("one")).groupBy("_host") \
-               .agg(F.count(F.lit(1)).alias("host_docs"))
     common = (held.groupBy("_host", "h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
               .where(F.col("n_docs") >= min_docs))
-    same_host = F.col("a._host").eqNullSafe(F.col("b._host"))
-    common = (common.alias("a").join(hosts.alias("b"), same_host)
-              .where(100 * F.col("n_docs") >= min_pct * F.col("host_docs")).select("a._host", "h1", "h2"))
     on = F.col("a._host").eqNullSafe(F.col("b._host")) & (F.col("a.h1") == F.col("b.h1")) \
         & (F.col("a.h2") == F.col("b.h2"))
     hit = (held.alias("a").join(common.alias("b"), on, "left_semi")

@@ -294,3 +294,13 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}}
+
+
+def test_boilerplate_is_counted_in_texts_whatever_the_host(spark):
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    body = lambda i: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(25))
+    rows = [(i, body(i) + ("\nread our terms" if i < 25 else "\nwritten by hand" if i < 44 else ""), "en", "h", 1)
+            for i in range(400)]
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {i for i, r in got.items() if r["boiler_words"]} == set(range(25))
+    assert all(r["kept"] for r in got.values()) and got[0]["boiler_words"] == 3

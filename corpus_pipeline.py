@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages from raw documents to token ids, each written before the next reads it.
 
-Quality rules drop rejected documents, line dedup takes out repeated lines, the n-gram join keeps one document of each
-group of near copies, decontamination drops documents with benchmark passages, and the last stage encodes the rest.
+Quality rules drop rejected documents and take boilerplate lines out of the others, line dedup takes out repeated
+lines, the n-gram join keeps one document of each group of near copies, decontamination drops documents with benchmark
+passages, and the last stage encodes the rest.
 All stages but the last return the columns of ``documents``; n_chars follows the text.
 """
 
@@ -20,7 +21,9 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(docs).where("kept").select(*docs.columns)
+    kept = quality_rules.quality_rules(docs).where("kept")
+    text = F.col("kept_text")
+    return kept.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128, let
+from mercato.llm.common import ASCII_SPACE, ascii_lower, hash128, let, stage
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -23,6 +23,8 @@ MAX_REPEAT_PCT = 30
 LINE_MIN_DOCS = 20
 #: Depleted: the boilerplate lines hold more than this share of the words.
 MAX_REMOVED_PCT = 80
+#: Boilerplate lines (16 bytes each) that may be broadcast.
+BROADCAST_LINES = 500_000
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "c")
@@ -94,37 +96,49 @@ def _with_unit(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
     return docs.withColumns({"_u1": u1, "_u2": u2})
 
 
-def depleted_units(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-                   min_docs: int = LINE_MIN_DOCS, max_removed_pct: int = MAX_REMOVED_PCT) -> DataFrame:
-    """(_u1, _u2, boiler_words) of the distinct (host, text) pairs that boilerplate lines deplete."""
+def _line_hashes(line: Column, host: Column) -> Column:
+    """The hashes of a host's normalised line; NULL for a blank one."""
+    def of(x: Column) -> Column:
+        h1, h2 = hash128(host, x)
+        return F.when(x != "", F.struct(h1.alias("h1"), h2.alias("h2")))
+    return let(normalised_line(line), of)
+
+
+def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source",
+                min_docs: int = LINE_MIN_DOCS) -> DataFrame:
+    """(_u1, _u2, boiler_lines) of the distinct (host, text) pairs with boilerplate lines: the hashes of those lines.
+
+    The lines above the limit are written first. When a bounded count shows that they are few, they are broadcast to
+    the texts, and only the lines found move; beyond it both sides are shuffled, one row for each line of a text.
+    """
     own = _with_unit(docs.select(F.col(host_col).alias("_host"), F.col(text_col).alias("_text")), "_text", "_host")
-    def hashed(line: Column) -> Column:
-        def of(x: Column) -> Column:
-            h1, h2 = hash128(x)
-            n_words = F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
-            return F.when(x != "", F.struct(h1.alias("h1"), h2.alias("h2"), n_words.alias("w")))
-        return let(normalised_line(line), of)
-
-    lines = own.select("_host", "_u1", "_u2", F.explode(F.transform(F.split("_text", "\n", -1), hashed)).alias("x"))
+    lines = (own.select("_u1", "_u2", F.explode(F.transform(
+        F.split("_text", "\n", -1), lambda x: _line_hashes(x, F.col("_host")))).alias("x"))
+        .where("x IS NOT NULL").select("_u1", "_u2", "x.h1", "x.h2"))
     # one row for each line of a text, however often the text or the line is repeated; salted over texts, so a line
     # held by a third of them is no hot group
-    held = (lines.where("x IS NOT NULL").select("_host", "_u1", "_u2", "x.h1", "x.h2", "x.w")
-            .groupBy("_host", "h1", "h2", "_u1", "_u2").agg(F.count(F.lit(1)).alias("times"), F.max("w").alias("w")))
-    common = (held.groupBy("_host", "h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
-              .where(F.col("n_docs") >= min_docs))
-    on = F.col("a._host").eqNullSafe(F.col("b._host")) & (F.col("a.h1") == F.col("b.h1")) \
-        & (F.col("a.h2") == F.col("b.h2"))
-    hit = (held.alias("a").join(common.alias("b"), on, "left_semi")
-           .groupBy("_u1", "_u2").agg(F.sum(F.col("w") * F.col("times")).alias("boiler_words")))
-    return hit
-
-
-def quality_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
-    """``docs`` with the base counts, base_failed, boiler_words and kept; columns of these names are replaced."""
-    max_removed = limits.get("max_removed_pct", MAX_REMOVED_PCT)
-    counted = _with_unit(base_counts(docs.drop("boiler_words"), text_col), text_col, host_col)
-    hit = depleted_units(docs, text_col, host_col, **limits)
-    out = counted.join(hit, ["_u1", "_u2"], "left")
-    boiler = F.coalesce("boiler_words", F.lit(0).cast("long"))
-    depleted = 100 * boiler > max_removed * F.col("n_words")
-    return out.withColumns({"boiler_words": boiler, "kept": ~F.col("base_failed") & ~depleted}).drop("_u1", "_u2")
+    held = lines.distinct()
+    common = stage(held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
+                   .where(F.col("n_docs") >= min_docs).select("h1", "h2"), "boilerplate")
+    few = common.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+    found = (lines.join(F.broadcast(common), ["h1", "h2"], "left_semi") if few
+             else held.join(common, ["h1", "h2"], "left_semi"))
+    return found.groupBy("_u1", "_u2").agg(F.collect_set(F.struct("h1", "h2")).alias("boiler_lines"))
+
+
+def quality_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_docs: int = LINE_MIN_DOCS,
+                  max_removed_pct: int = MAX_REMOVED_PCT) -> DataFrame:
+    """``docs`` with the base counts, base_failed, boiler_words, kept and kept_text, the text without its boilerplate
+    lines; columns of these names are replaced. The counts are those of the whole text."""
+    docs = docs.drop("boiler_words", "boiler_lines", "kept", "kept_text")
+    counted = _with_unit(base_counts(docs, text_col), text_col, host_col)
+    out = counted.join(boilerplate(docs, text_col, host_col, min_docs), ["_u1", "_u2"], "left")
+    left = F.filter(F.split(text_col, "\n", -1), lambda x: let(
+        _line_hashes(x, F.col(host_col)), lambda h: h.isNull() | ~F.array_contains("boiler_lines", h)))
+    out = out.withColumn("kept_text", F.when(F.col("boiler_lines").isNull(), F.col(text_col))
+                         .otherwise(F.array_join(left, "\n")))
+    boiler = F.when(F.col("boiler_lines").isNull(), F.lit(0).cast("long")) \
+              .otherwise(F.col("n_words") - F.size(words(F.col("kept_text"))))
+    out = out.withColumn("boiler_words", boiler)
+    depleted = 100 * F.col("boiler_words") > max_removed_pct * F.col("n_words")
+    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_u1", "_u2", "boiler_lines")

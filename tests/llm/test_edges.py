@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from mercato.llm import (bpe, decontamination, graph, html_text, line_dedup, ngram_join, quality_model, quality_rules,
                          sharding, toxicity, warc)
 from mercato.llm import queries as Q
@@ -304,3 +305,26 @@ def test_boilerplate_is_counted_in_texts_whatever_the_host(spark):
     got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
     assert {i for i, r in got.items() if r["boiler_words"]} == set(range(25))
     assert all(r["kept"] for r in got.values()) and got[0]["boiler_words"] == 3
+
+
+def test_boilerplate_lines_are_taken_out(spark):
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    body = lambda i: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(25))
+    rows = [(i, f"Page {i} of 30\n{body(i)}\n\n page  7 OF 30\nown {letters(i)}", "en", "h", -1) for i in range(30)]
+    rows += [(100, "Page 3 of 30\n" + body(100), "en", "other", -1), (101, None, "en", "h", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs.withColumn("kept_text", F.lit("x"))).collect()}
+    assert all(got[i]["kept_text"] == f"{body(i)}\n\nown {letters(i)}" and got[i]["boiler_words"] == 8 for i in range(30))
+    assert got[0]["text"] == rows[0][1] and got[100]["kept_text"] == rows[30][1] and got[101]["kept_text"] is None
+    after = {r["doc_id"]: r for r in corpus_pipeline.quality_stage(spark, docs, "").collect()}
+    assert after.keys() == {*range(30), 100}
+    assert all(r["text"] == got[i]["kept_text"] and r["n_chars"] == len(r["text"]) for i, r in after.items())
+
+
+def test_copies_do_not_multiply_boilerplate_words(spark):
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    body = lambda i: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(25))
+    rows = [(i, "read our terms of use with care\n" + body(i), "en", "h", 1) for i in range(20)] * 5
+    got = quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == 100 and all(r["boiler_words"] == 7 and r["kept"] and r["kept_text"] == body(r["doc_id"])
+                                   for r in got)

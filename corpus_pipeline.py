@@ -40,7 +40,7 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), any_case=True)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,9 +3,11 @@
 Numbers, names (words capitalised inside a sentence) and units (after a number) are replaced by typed placeholders,
 the rest is lower-cased and cut into words. Windows of ``WINDOW`` canonical words are
 hashed and joined with the benchmark's windows, so a question with other numbers or names still meets its source. A
-window needs ``MIN_LITERAL`` plain words to count. Then the slots are checked: within one alignment of document and
-item, each value of the item must always stand for the same value of the document and the other way round. An item is
-found in a document when windows of consistent alignments make up ``MIN_COVER`` percent of the item's windows.
+window needs ``MIN_LITERAL`` plain words to count. A window whose words are the item's own (upper and lower case are
+one) counts as it is; with ``any_case`` such windows are also found where names cannot be told by their capitals. For
+the others the slots are checked: when a value of the item stands for several values of the document within one
+alignment, the windows with that slot are left out. An item is found in a document when the windows left make up
+``MIN_COVER`` percent of the item's windows.
 
 The benchmark side is broadcast only after a bounded count; beyond it the windows are joined by shuffle. All is
 column expressions; no Python runs on rows.
@@ -57,7 +59,7 @@ def template_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(x), _CUT, -1), lambda w: w != "")
 
 
-def _windows(words: Column) -> Column:
+def _hashes(words: Column) -> Column:
     """One hash for each run of ``WINDOW`` template words; NULL for fewer words. Pairs are hashed first, four pairs
     make a window: far fewer reads for each window than its eight words."""
     pairs = let(words, lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1))))
@@ -66,12 +68,25 @@ def _windows(words: Column) -> Column:
         lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(0, WINDOW, 2)]))))
 
 
-def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def _windows(text: Column, any_case: bool) -> Column:
+    """array<struct<at, window>>: the template windows and, with ``any_case``, the plain ones that differ from them."""
+    def numbered(hashes: Column) -> Column:
+        return F.transform(hashes, lambda x, i: F.struct(i.alias("at"), x.alias("window")))
+
+    def plain(types: Column) -> Column:
+        return let(_hashes(plain_words(text)), lambda h: F.concat(
+            numbered(types), F.filter(numbered(h), lambda s: s["window"] != F.get(types, s["at"]))))
+
+    return let(_hashes(template_words(text)), lambda x: plain(x) if any_case else numbered(x))
+
+
+def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
+                      any_case: bool = False) -> DataFrame:
     """(item, item_words, item_types, j, window, item_windows): the countable windows of the distinct items."""
     items = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).alias("_text")).distinct()
     rows = items.select("item", plain_words(F.col("_text")).alias("item_words"),
                         template_words(F.col("_text")).alias("item_types"),
-                        F.posexplode(_windows(template_words(F.col("_text")))).alias("j", "window"))
+                        F.inline(_windows(F.col("_text"), any_case)).alias("j", "window"))
     literal = F.size(F.filter(F.slice("item_types", F.col("j") + 1, WINDOW), lambda t: ~t.isin(NUM, NAME, UNIT)))
     rows = rows.where(literal >= MIN_LITERAL)
     total = rows.groupBy(F.col("item").alias("_item")).agg(F.countDistinct("j").alias("item_windows"))
@@ -83,12 +98,12 @@ def _with_hash(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumns({"_r1": r1, "_r2": r2})
 
 
-def _found(own: DataFrame, bench: DataFrame, min_cover: int) -> DataFrame:
+def _found(own: DataFrame, bench: DataFrame, min_cover: int, any_case: bool) -> DataFrame:
     """(_r1, _r2, item, n_windows, item_windows, reparameterised) of the documents ``own`` (_text, _r1, _r2).
 
     The hits are written once. Of the documents with hits, only the words under those hits go on, eight a row.
     """
-    windows = own.select("_r1", "_r2", F.posexplode(_windows(template_words(F.col("_text")))).alias("i", "window"))
+    windows = own.select("_r1", "_r2", F.inline(_windows(F.col("_text"), any_case)).alias("i", "window"))
     side = bench.select("item", "j", "window")
     hits = stage(windows.join(broadcast_if_small(side, BROADCAST_ROWS), "window")
                  .select("_r1", "_r2", "item", "i", "j").distinct(), "window-hits")
@@ -102,42 +117,48 @@ def _found(own: DataFrame, bench: DataFrame, min_cover: int) -> DataFrame:
     words = (texts.join(at, ["_r1", "_r2"]).select("_r1", "_r2", F.inline(under))
              .dropDuplicates(["_r1", "_r2", "i"]))
     items = bench.select("item", "j", F.slice("item_words", F.col("j") + 1, WINDOW).alias("item_words"),
-                         F.slice("item_types", F.col("j") + 1, WINDOW).alias("item_types"), "item_windows")
+                         F.slice("item_types", F.col("j") + 1, WINDOW).alias("item_types"), "item_windows").distinct()
     same = F.col("h.item").eqNullSafe(F.col("b.item")) & (F.col("h.j") == F.col("b.j"))
     both = (hits.join(words, ["_r1", "_r2", "i"]).alias("h").join(items.alias("b"), same)
             .select("_r1", "_r2", "h.item", "i", "h.j", "doc_words", "item_words", "item_types", "item_windows"))
-    slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda o: F.struct(
-        F.get("item_types", o).alias("type"), F.get("item_words", o).alias("a"), F.get("doc_words", o).alias("b"))),
-        lambda s: s["type"].isin(NUM, NAME, UNIT))
+    slots = F.transform(F.filter(F.sequence(F.lit(0), F.lit(WINDOW - 1)),
+                                 lambda o: F.get("item_types", o).isin(NUM, NAME, UNIT)),
+                        lambda o: F.struct(F.struct(F.get("item_types", o).alias("type"),
+                                                    F.get("item_words", o).alias("value")).alias("slot"),
+                                           F.get("doc_words", o).alias("stands")))
+    window = F.struct("j", (F.col("doc_words") == F.col("item_words")).alias("verbatim"), slots.alias("slots"))
     lined = (both.groupBy("_r1", "_r2", "item", (F.col("i") - F.col("j")).alias("shift"))
-             .agg(F.collect_set("j").alias("js"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
-                  F.first("item_windows").alias("item_windows")))
-    one_to_one = ((F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["a"]))))
-                   == F.size("slots"))
-                  & (F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["b"]))))
-                     == F.size("slots")))
-    return (lined.where(one_to_one).groupBy("_r1", "_r2", "item")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("js")))).cast("long").alias("n_windows"),
+             .agg(F.collect_set(window).alias("all"), F.first("item_windows").alias("item_windows")))
+    # the slots with more than one value in the document
+    slot = let(F.array_distinct(F.flatten(F.col("all.slots"))), lambda x: F.transform(x, lambda p: p["slot"]))
+    torn = let(slot, lambda x: F.array_distinct(F.filter(x, lambda p, k: F.array_position(x, p) <= k)))
+    kept = let(torn, lambda x: F.filter("all", lambda w: w["verbatim"] | ~F.arrays_overlap(
+        F.transform(w["slots"], lambda p: p["slot"]), x)))
+    lined = lined.withColumn("kept", kept).where(F.size("kept") > 0)
+    return (lined.groupBy("_r1", "_r2", "item")
+            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("kept.j")))).cast("long").alias("n_windows"),
                  F.first("item_windows").alias("item_windows"),
-                 F.max(F.exists("slots", lambda s: s["a"] != s["b"])).alias("reparameterised"))
+                 F.max(F.exists("kept", lambda w: ~w["verbatim"])).alias("reparameterised"))
             .where(100 * F.col("n_windows") >= min_cover * F.col("item_windows")))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", min_cover: int = MIN_COVER) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", min_cover: int = MIN_COVER,
+               any_case: bool = False) -> DataFrame:
     """One row for each (document, item) found: the ids, the document's row hash, windows and coverage in percent,
     and whether slot values differ (``reparameterised``)."""
     own = _with_hash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
-    found = _found(own, benchmark_windows(benchmark, item_col, item_text_col), min_cover)
+    found = _found(own, benchmark_windows(benchmark, item_col, item_text_col, any_case), min_cover, any_case)
     return (own.select("_id", "_r1", "_r2").join(found, ["_r1", "_r2"])
             .select(F.col("_id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows",
                     "reparameterised", "_r1", "_r2"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", any_case: bool = False) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
     own = _with_hash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
-    leaks = stage(_found(own, benchmark_windows(benchmark), MIN_COVER).select("_r1", "_r2").distinct(), "leaks")
+    found = _found(own, benchmark_windows(benchmark, any_case=any_case), MIN_COVER, any_case)
+    leaks = stage(found.select("_r1", "_r2").distinct(), "leaks")
     return _with_hash(docs, id_col, text_col).join(broadcast_if_small(leaks, BROADCAST_IDS), ["_r1", "_r2"],
                                                    "left_anti").drop("_r1", "_r2")

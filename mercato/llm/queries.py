@@ -38,7 +38,8 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                     any_case=True)
     return out.select("doc_id", "item_id", "n_windows", "item_windows", "reparameterised")
 
 

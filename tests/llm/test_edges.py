@@ -328,3 +328,22 @@ def test_copies_do_not_multiply_boilerplate_words(spark):
     got = quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()
     assert len(got) == 100 and all(r["boiler_words"] == 7 and r["kept"] and r["kept_text"] == body(r["doc_id"])
                                    for r in got)
+
+
+PLAY = ("In the old town of Varn the baker Tom sells 12 loaves every day to the keeper of the small inn near the "
+        "bridge, and Tom sells 9 rolls to the school behind the mill. How many pieces does he sell in all?")
+
+
+def test_decontamination_in_any_case_and_with_torn_slots(spark):
+    """One occurrence of a repeated name changed, two numbers that became one, and copies in other cases."""
+    texts = [PLAY.replace("and Tom", "and Bob"), PLAY.replace("12", "7").replace("9", "7"), PLAY.upper(),
+             PLAY.lower(), PLAY.title(), PLAY.replace("the baker Tom", "the baker Ann").replace("and Tom", "and Bob"),
+             "nothing of the kind stands here, only a few plain words about the weather in the old town of Varn"]
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(9, PLAY)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.find_leaks(own, bench, any_case=True).collect()}
+    assert {0, 1, 2, 3, 4} <= got.keys() <= set(range(6))
+    assert all(got[i]["n_windows"] == got[i]["item_windows"] and not got[i]["reparameterised"] for i in (2, 3, 4))
+    assert got[1]["n_windows"] == got[1]["item_windows"] and got[1]["reparameterised"]
+    left = decontamination.drop_contaminated(own, bench, any_case=True)
+    assert {r["doc_id"] for r in left.collect()} == set(range(7)) - got.keys()

@@ -7,7 +7,8 @@ window needs ``MIN_LITERAL`` plain words to count. A window whose words are the
 one) counts as it is; with ``any_case`` such windows are also found where names cannot be told by their capitals. For
 the others the slots are checked: when a value of the item stands for several values of the document within one
 alignment, the windows with that slot are left out. An item is found in a document when the windows left make up
-``MIN_COVER`` percent of the item's windows.
+``MIN_COVER`` percent of the item's windows, or when words that they cover in a row hold ``MIN_RUN`` plain ones, however
+long the item is.
 
 The benchmark side is broadcast only after a bounded count; beyond it the windows are joined by shuffle. All is
 column expressions; no Python runs on rows.
@@ -27,6 +28,8 @@ from mercato.llm.common import broadcast_if_small, hash128, let, stage
 WINDOW = 8
 MIN_LITERAL = 4
 MIN_COVER = 50
+#: Plain words in a row that make a document contaminated, whatever share of the item they are.
+MIN_RUN = 13
 #: Rows of the benchmark side (40 bytes each) that may be broadcast.
 BROADCAST_ROWS = 500_000
 #: Row hashes (16 bytes each) that may be broadcast to filter the texts.
@@ -98,7 +101,19 @@ def _with_hash(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumns({"_r1": r1, "_r2": r2})
 
 
-def _found(own: DataFrame, bench: DataFrame, min_cover: int, any_case: bool) -> DataFrame:
+def _longest_run(kept: Column) -> Column:
+    """The most plain words in a row under windows of one alignment; windows up to ``WINDOW`` words apart touch."""
+    start = F.struct(F.lit(-2 * WINDOW).alias("last"), F.lit(0).alias("since"), F.lit(0).alias("most"))
+
+    def step(at: Column, w: Column) -> Column:
+        since = F.when(w["j"] - at["last"] <= WINDOW, at["since"]).otherwise(w["plain_before"])
+        return F.struct(w["j"].alias("last"), since.alias("since"),
+                        F.greatest(at["most"], w["plain_to_end"] - since).alias("most"))
+
+    return F.aggregate(F.array_sort(kept), start, step, lambda at: at["most"])
+
+
+def _found(own: DataFrame, bench: DataFrame, min_cover: int, min_run: int, any_case: bool) -> DataFrame:
     """(_r1, _r2, item, n_windows, item_windows, reparameterised) of the documents ``own`` (_text, _r1, _r2).
 
     The hits are written once. Of the documents with hits, only the words under those hits go on, eight a row.
@@ -116,17 +131,24 @@ def _found(own: DataFrame, bench: DataFrame, min_cover: int, any_case: bool) ->
     # repeated rows have the same hash and the same words
     words = (texts.join(at, ["_r1", "_r2"]).select("_r1", "_r2", F.inline(under))
              .dropDuplicates(["_r1", "_r2", "i"]))
-    items = bench.select("item", "j", F.slice("item_words", F.col("j") + 1, WINDOW).alias("item_words"),
+    def plain(to: Column) -> Column:
+        return F.size(F.filter(F.slice("item_types", F.lit(1), to), lambda t: ~t.isin(NUM, NAME, UNIT)))
+
+    items = bench.select("item", "j", plain(F.col("j")).alias("plain_before"),
+                         plain(F.col("j") + WINDOW).alias("plain_to_end"),
+                         F.slice("item_words", F.col("j") + 1, WINDOW).alias("item_words"),
                          F.slice("item_types", F.col("j") + 1, WINDOW).alias("item_types"), "item_windows").distinct()
     same = F.col("h.item").eqNullSafe(F.col("b.item")) & (F.col("h.j") == F.col("b.j"))
     both = (hits.join(words, ["_r1", "_r2", "i"]).alias("h").join(items.alias("b"), same)
-            .select("_r1", "_r2", "h.item", "i", "h.j", "doc_words", "item_words", "item_types", "item_windows"))
+            .select("_r1", "_r2", "h.item", "i", "h.j", "doc_words", "item_words", "item_types", "item_windows",
+                    "plain_before", "plain_to_end"))
     slots = F.transform(F.filter(F.sequence(F.lit(0), F.lit(WINDOW - 1)),
                                  lambda o: F.get("item_types", o).isin(NUM, NAME, UNIT)),
                         lambda o: F.struct(F.struct(F.get("item_types", o).alias("type"),
                                                     F.get("item_words", o).alias("value")).alias("slot"),
                                            F.get("doc_words", o).alias("stands")))
-    window = F.struct("j", (F.col("doc_words") == F.col("item_words")).alias("verbatim"), slots.alias("slots"))
+    window = F.struct("j", "plain_before", "plain_to_end",
+                      (F.col("doc_words") == F.col("item_words")).alias("verbatim"), slots.alias("slots"))
     lined = (both.groupBy("_r1", "_r2", "item", (F.col("i") - F.col("j")).alias("shift"))
              .agg(F.collect_set(window).alias("all"), F.first("item_windows").alias("item_windows")))
     # the slots with more than one value in the document
@@ -138,17 +160,19 @@ def _found(own: DataFrame, bench: DataFrame, min_cover: int, any_case: bool) ->
     return (lined.groupBy("_r1", "_r2", "item")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("kept.j")))).cast("long").alias("n_windows"),
                  F.first("item_windows").alias("item_windows"),
-                 F.max(F.exists("kept", lambda w: ~w["verbatim"])).alias("reparameterised"))
-            .where(100 * F.col("n_windows") >= min_cover * F.col("item_windows")))
+                 F.max(F.exists("kept", lambda w: ~w["verbatim"])).alias("reparameterised"),
+                 F.max(_longest_run(F.col("kept"))).alias("run"))
+            .where((100 * F.col("n_windows") >= min_cover * F.col("item_windows")) | (F.col("run") >= min_run))
+            .drop("run"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", min_cover: int = MIN_COVER,
-               any_case: bool = False) -> DataFrame:
+               min_run: int = MIN_RUN, any_case: bool = False) -> DataFrame:
     """One row for each (document, item) found: the ids, the document's row hash, windows and coverage in percent,
     and whether slot values differ (``reparameterised``)."""
     own = _with_hash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
-    found = _found(own, benchmark_windows(benchmark, item_col, item_text_col, any_case), min_cover, any_case)
+    found = _found(own, benchmark_windows(benchmark, item_col, item_text_col, any_case), min_cover, min_run, any_case)
     return (own.select("_id", "_r1", "_r2").join(found, ["_r1", "_r2"])
             .select(F.col("_id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows",
                     "reparameterised", "_r1", "_r2"))
@@ -158,7 +182,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       text_col: str = "text", any_case: bool = False) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
     own = _with_hash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
-    found = _found(own, benchmark_windows(benchmark, any_case=any_case), MIN_COVER, any_case)
+    found = _found(own, benchmark_windows(benchmark, any_case=any_case), MIN_COVER, MIN_RUN, any_case)
     leaks = stage(found.select("_r1", "_r2").distinct(), "leaks")
     return _with_hash(docs, id_col, text_col).join(broadcast_if_small(leaks, BROADCAST_IDS), ["_r1", "_r2"],
                                                    "left_anti").drop("_r1", "_r2")

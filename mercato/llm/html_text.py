@@ -32,8 +32,6 @@ DIM = PATH_DIM + WORD_DIM + STATS
 HIDDEN = 16
 TRAIN_PAGES = 480
 EPOCHS = 14
-#: The words of a block that its vector hashes: the first of them; its text is never cut.
-LEAD_WORDS = 16
 #: Block vectors held at once while scoring.
 MAX_CELLS = 20_000
 
@@ -145,17 +143,15 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
 def block_vector(block: Block, at: int, n: int, out: np.ndarray) -> None:
     out[:PATH_DIM] = path_vector(block.path)
     text = block.text
-    words = text.count(" ") + 1
-    lead = text.lower().split(" ", LEAD_WORDS)[:LEAD_WORDS]
-    seen, share = [0.0] * WORD_DIM, 1 / len(lead)
-    for w in lead:
-        seen[zlib.crc32(w.encode()) % WORD_DIM] += share
+    all_words = text.lower().encode().split(b" ")
+    words = len(all_words)
+    seen = np.bincount([zlib.crc32(w) % WORD_DIM for w in all_words], minlength=WORD_DIM) / words
     size = len(text)
     out[PATH_DIM:] = (
         *seen,
         math.log1p(size) / 6, math.log1p(words) / 4, min(block.link_chars / size, 1.0),
         (text.count(".") + text.count(",")) / (words + 1), text[-1] in ".!?:;", at / n, math.log1p(n) / 5,
-        _DIGIT.search(text, 0, 200) is not None)
+        _DIGIT.search(text) is not None)
 
 
 def page_matrix(blocks: list[Block]) -> np.ndarray:

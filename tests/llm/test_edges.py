@@ -359,3 +359,12 @@ def test_decontamination_finds_long_runs_of_long_items(spark, words, found):
     own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
     assert [r["doc_id"] for r in decontamination.find_leaks(own, bench).collect()] == ([0] if found else [])
+
+
+def test_block_vector_reads_the_whole_block():
+    lead = " ".join(f"word{chr(97 + i)}" for i in range(60))
+    blocks = [html_text.Block(("p",), f"{lead} {end}", 0) for end in ("alpha beta gamma", "delta omega kappa", "in 2020")]
+    x = html_text.page_matrix(blocks)[:, html_text.PATH_DIM:]
+    words = x[:, :html_text.WORD_DIM]
+    assert abs(words.sum(axis=1) - 1).max() < 1e-5 and (words[0] != words[1]).any()
+    assert x[:, -1].tolist() == [0, 0, 1]

@@ -9,7 +9,8 @@ blocks are labelled by construction; words are random, so that what it learns is
 the weights (about 100 KB) go to the tasks with the function.
 
 Edge cases: NULL and empty html, and pages without a block labelled as article, give an empty text; broken markup
-(unclosed or stray tags, bare ``<``) never fails; repeated rows, NULL ids and urls are carried through; an empty
+(unclosed or stray tags, bare ``<``) never fails, and an element without text (``head``, ``select``, ``svg`` and the
+like) left open ends where a block starts that cannot stand inside it; repeated rows, NULL ids and urls are carried through; an empty
 table gives an empty result. Only the id, url and html columns are read.
 """
 
@@ -44,9 +45,18 @@ RAW_TAGS = frozenset("script style textarea title".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_NEXT = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
                   "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+#: What may stand in ``head``; any other element or text ends it. Inside the second set it goes on.
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+HEAD_INNER = frozenset("noframes noscript template".split())
+#: Elements that end a ``select`` left open are the block elements but these; for svg and math, those outside HTML parts.
+SELECT_TAGS = frozenset("option hr legend button".split())
+HTML_PARTS = frozenset("foreignobject desc annotation-xml".split())
+#: Silent elements that can hold any block: without an end tag they are not taken as open.
+NEEDS_END = frozenset("noscript iframe object template".split())
 CLOSES_P = BLOCK_TAGS - {"br", "button", "label", "option", "legend"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_ENDS = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I) for t in NEEDS_END}
 _DIGIT = re.compile(r"[0-9]")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
@@ -58,6 +68,15 @@ class Block:
         self.path, self.text, self.link_chars = path, text, link_chars
 
 
+def _ends_silent(name: str, inner: set[str], tag: str) -> bool:
+    """Whether the start of ``tag`` ends the silent element ``name`` left open, with ``inner`` open inside it."""
+    if name == "head":
+        return tag == "body" or (tag not in HEAD_TAGS and not inner & HEAD_INNER)
+    if name == "select":
+        return tag in BLOCK_TAGS and tag not in SELECT_TAGS
+    return name in ("svg", "math") and tag in BLOCK_TAGS and not inner & HTML_PARTS
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks in page order: white space collapsed, character references decoded, empty ones left out."""
     page = page or ""
@@ -66,6 +85,17 @@ def blocks_of(page: str | None) -> list[Block]:
     parts: list[tuple[str, bool]] = []
     silent = links = at = 0
     path: tuple[str, ...] = ()
+    last_end: dict[str, int] = {}
+
+    def is_closed(tag: str) -> bool:
+        """Whether the element that starts before ``at`` has an end tag: noscript and iframe do not nest, so theirs
+        comes before the next start; for the others any later end tag will do."""
+        if tag in ("noscript", "iframe"):
+            near = _ENDS[tag].search(page, at)
+            return near is not None and near[1] == "/"
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in _ENDS[tag].finditer(page) if m[1]), default=-1)
+        return last_end[tag] >= at
 
     def end_block() -> None:
         text = " ".join("".join([t for t, _ in parts]).split())
@@ -82,6 +112,8 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal path
+        if silent and stack[-1][0] == "head" and raw.strip():
+            pop(len(stack) - 1)
         if raw and not silent:
             text = html.unescape(raw) if "&" in raw else raw
             if not parts:
@@ -106,6 +138,11 @@ def blocks_of(page: str | None) -> list[Block]:
             if own is not None:
                 pop(own)
             continue
+        if silent:
+            for i, (name, _) in enumerate(stack):
+                if name in SILENT_TAGS and _ends_silent(name, {x for x, _ in stack[i + 1:]}, tag):
+                    pop(i)
+                    break
         if tag in CLOSES_P or tag in CLOSED_BY_NEXT:
             ends = CLOSED_BY_NEXT.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
             for i in range(len(stack) - 1, -1, -1):
@@ -120,6 +157,8 @@ def blocks_of(page: str | None) -> list[Block]:
             close = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
+        if tag in NEEDS_END and not is_closed(tag):
+            continue
         names = m[3] and " ".join(next(filter(None, x[1:]), "") for x in _ATTR.findall(m[3])).lower()
         stack.append((tag, f"{tag} {names}" if names else tag))
         silent += tag in SILENT_TAGS

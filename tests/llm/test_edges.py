@@ -368,3 +368,26 @@ def test_block_vector_reads_the_whole_block():
     words = x[:, :html_text.WORD_DIM]
     assert abs(words.sum(axis=1) - 1).max() < 1e-5 and (words[0] != words[1]).any()
     assert x[:, -1].tolist() == [0, 0, 1]
+
+
+BODY = "<article><h1>Title</h1><p>First text.<p>Second text.</article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<head><title>no</title><body>", "<head><title>no</title><meta charset=utf-8>", "<head><link href=x><body class=a>",
+    "<head><noscript><style>p{}</style></noscript><body>", "<head><noscript><body>", "<noscript>", "<div><iframe src=x>",
+    "<template>", "<object data=x>", "<select><option>", "<p><svg viewBox=x><path d=m>", "<math><mi>",
+    "<noscript><noscript><p>no</p></noscript>", "<head><bgsound src=x><body>"])
+def test_silent_elements_left_open(before):
+    hidden = {"x", "no"}
+    for page in (before + BODY, before + BODY + "<div>"):
+        got = [b.text for b in html_text.blocks_of("<!doctype html><html>" + page)]
+        assert got == ["Title", "First text.", "Second text."] and not hidden & set(got)
+
+
+def test_silent_elements_that_are_closed():
+    page = ("<head><title>no</title></head><noscript><p>no</p><div>no</div></noscript><select><option>no<hr><option>no"
+            "</select><svg><text>no</text><foreignObject><p>no</p></foreignObject></svg><template><p>no</p></template>"
+            "<object><p>no</p></object><p>yes")
+    assert [b.text for b in html_text.blocks_of(page)] == ["yes"]
+    assert [b.text for b in html_text.blocks_of("<head><title>no</title> text<p>more")] == ["text", "more"]

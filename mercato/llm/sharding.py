@@ -4,11 +4,12 @@ Rows are numbered 0..n-1 by (id, size, checksum): a range sort of these small co
 per partition. A four-round Feistel network over the smallest even-bit domain that holds n, with cycle walking for
 numbers that fall outside it, permutes the row numbers. The permuted number p gives shard = p mod shards and
 slot = p div shards, so shard sizes differ by at most one (law ``rows``), slots are gapless, the shuffle repeats for a
-given seed, and ``row_of`` computes which row any (shard, slot) holds without a table.
+given seed, and ``row_of`` computes which row any (shard, slot) holds without a table. The numbers are joined to the
+whole rows by a hash of (id, text), and the rows are moved into the order of shard and slot.
 
-Edge cases: a NULL text has size 1 and checksum 0; NULL ids sort first; repeated rows are rows of their own; ties in
-(id, size, checksum) are rows that cannot be told apart, so either order gives the same result; an empty table gives
-an empty result. Only the id and text columns are read.
+Edge cases: a NULL text has size 1 and checksum 0; NULL ids sort first; repeated rows are rows of their own; rows that
+tie in (id, size, checksum) follow the hash, so each number goes to one row; an empty table gives an empty result.
+Columns named row, shard or slot are replaced.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import stage
+from mercato.llm.common import hash128, stage
 
 SHARDS = 16
 SEED = 42
@@ -92,20 +93,46 @@ def numbered(rows: DataFrame, *order: str) -> tuple[DataFrame, dict[int, int], i
     return parts, first, n
 
 
-def shard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
-               seed: int = SEED) -> DataFrame:
-    """(id, size, text_crc32, row, shard, slot) of every row."""
-    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
-    small = docs.select(F.col(id_col).alias("id"), size.alias("size"),
-                        F.coalesce(F.crc32(F.col(text_col)), F.lit(0).cast("long")).alias("text_crc32"))
-    parts, first, n = numbered(small, "id", "size", "text_crc32")
-    id_type = small.schema["id"].dataType.simpleString()
+def _size_and_crc(text_col: str) -> tuple[Column, Column]:
+    return (F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1,
+            F.coalesce(F.crc32(F.col(text_col)), F.lit(0).cast("long")))
+
+
+def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
+                    seed: int = SEED) -> DataFrame:
+    """``docs`` with row, shard and slot, moved into the order of shard and slot.
+
+    Only small columns are sorted and numbered; the rows themselves are shuffled for the join and into their shards.
+    """
+    docs = docs.drop("row", "shard", "slot", "_r1", "_r2", "_copy", "_places")
+    size, crc = _size_and_crc(text_col)
+    r1, r2 = hash128(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+    small = docs.select(F.col(id_col).alias("_id"), size.alias("_size"), crc.alias("_crc"),
+                        r1.alias("_r1"), r2.alias("_r2"))
+    parts, first, n = numbered(small, "_id", "_size", "_crc", "_r1", "_r2")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             row = b["idx"].to_numpy(np.int64) + b["part"].map(first).to_numpy(np.int64)
             p = permute(row, n, seed)
-            yield pd.DataFrame({"id": b["id"], "size": b["size"], "text_crc32": b["text_crc32"], "row": row,
+            yield pd.DataFrame({"_r1": b["_r1"], "_r2": b["_r2"], "row": row,
                                 "shard": (p % shards).astype(np.int32), "slot": p // shards})
 
-    return parts.mapInPandas(place, f"id {id_type}, size long, text_crc32 long, row long, shard int, slot long")
+    placed = parts.select("_r1", "_r2", "part", "idx").mapInPandas(
+        place, "_r1 long, _r2 long, row long, shard int, slot long")
+    # rows of the same id and text take the numbers of their hash one by one
+    placed = placed.groupBy("_r1", "_r2").agg(F.array_sort(F.collect_list(F.struct("row", "shard", "slot")))
+                                              .alias("_places"))
+    copy = F.row_number().over(Window.partitionBy("_r1", "_r2").orderBy(F.xxhash64(*docs.columns)))
+    rows = docs.withColumns({"_r1": r1, "_r2": r2}).withColumn("_copy", copy)
+    out = rows.join(placed, ["_r1", "_r2"]).select(*docs.columns, F.get("_places", F.col("_copy") - 1).alias("_at"))
+    return (out.select(*docs.columns, "_at.row", "_at.shard", "_at.slot")
+            .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot"))
+
+
+def shard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
+               seed: int = SEED) -> DataFrame:
+    """(id, size, text_crc32, row, shard, slot) of every row, from the rows in their shards."""
+    size, crc = _size_and_crc(text_col)
+    return shard_documents(docs, id_col, text_col, shards, seed).select(
+        F.col(id_col).alias("id"), size.alias("size"), crc.alias("text_crc32"), "row", "shard", "slot")

@@ -391,3 +391,18 @@ def test_silent_elements_that_are_closed():
             "<object><p>no</p></object><p>yes")
     assert [b.text for b in html_text.blocks_of(page)] == ["yes"]
     assert [b.text for b in html_text.blocks_of("<head><title>no</title> text<p>more")] == ["text", "more"]
+
+
+def test_shards_hold_whole_documents(spark, docs):
+    """Each row is in one place of its shard, also rows without an id and rows that tie in id, size and checksum."""
+    more = docs.union(docs.where("doc_id = 1 OR doc_id IS NULL").withColumns({"lang": F.lit("x"), "text": F.lit("t")}))
+    got = sharding.shard_documents(more, shards=3)
+    assert set(more.columns) - {"row"} <= set(got.columns)
+    at = [(r["shard"], r["slot"]) for r in got.collect()]
+    assert at == sorted(at) and len(set(at)) == len(ROWS) + 3
+    key = lambda r: (r["doc_id"], r["text"], r["lang"], r["source"])
+    assert sorted(map(repr, map(key, got.collect()))) == sorted(map(repr, map(key, more.collect())))
+    n = len(ROWS) + 3
+    assert all(sharding.row_of(r["shard"], r["slot"], n, 3) == r["row"] for r in got.collect())
+    by_row = [r["doc_id"] for r in sorted(got.collect(), key=lambda r: r["row"])]
+    assert by_row == sorted(by_row, key=lambda i: (i is not None, i or 0))

@@ -60,7 +60,15 @@ def hash128(*cols: Column) -> list[Column]:
     return [F.xxhash64(*cols), F.xxhash64(F.lit(0x5BD1E995), *cols)]
 
 
-ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
+class Numbering(dict):
+    """Numbers things from 1 in the order in which they are first asked for."""
+
+    def __missing__(self, thing: object) -> int:
+        n = self[thing] = len(self) + 1
+        return n
+
+
+ARROW = {"boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
          "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 #: Rows turned into Python objects at a time; Spark bounds the bytes of a batch.
 SLICE_ROWS = 1_000

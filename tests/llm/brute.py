@@ -127,3 +127,67 @@ def leaks(docs, items, window=8, cover=50):
                 hit[i].add(j)
         out |= {(d, i) for i, js in hit.items() if 100 * len(js) >= cover * total[i]}
     return out
+
+
+def phrases(docs, min_count=30, top=2000):
+    """docs: (lang, text) -> sorted (lang, rank, phrase, a, l, r, n, score) rows."""
+    found, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, 5):
+                found[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in found.items():
+        own = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        around = Counter()
+        for p, a in own.items():
+            for i in range(len(p)):
+                for j in range(i + 2, len(p) + 1):
+                    if j - i < len(p):
+                        around[p[i:j]] = max(around[p[i:j]], a)
+        rows = []
+        for p, a in own.items():
+            if 100 * around[p] < 80 * a:
+                s, _, left, right = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]])
+                                        for k in range(1, len(p)))
+                rows.append((lang, " ".join(p), a, left, right, n[lang], s))
+        rows.sort(key=lambda x: (-x[6], -x[2], x[1].encode()))
+        out += [(x[0], i + 1, *x[1:]) for i, x in enumerate(rows[:top])]
+    return sorted(out)
+
+
+def runs(w, min_words=12):
+    """[(start, length, period)] of the maximal runs of a list, by trying every period."""
+    out = set()
+    for q in range(1, len(w) // 2 + 1):
+        k = 0
+        while k < len(w) - q:
+            i = k
+            while k < len(w) - q and w[k] == w[k + q]:
+                k += 1
+            length = k - i + q
+            if k > i and length >= max(min_words, 2 * q) and \
+                    not any(all(w[x] == w[x + p] for x in range(i, i + length - p)) for p in range(1, q)):
+                out.add((i, length, q))
+            k += k == i
+    return sorted(out)
+
+
+def run_row(doc_id, text):
+    """The row of the periodic run query, but for the id."""
+    w, h = WORD.findall(text or ""), zlib.crc32(str(doc_id).encode())
+    n, g = len(w), h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    found = runs(w)
+    gone = {x for i, length, q in found for x in range(i + q, i + length)}
+    start, length, q = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else (None, None, None)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return (len(found), start, length, q, 1000 * length // q if found else None,
+            sha("".join(f"{i},{m},{p}\n" for i, m, p in found)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))

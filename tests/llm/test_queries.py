@@ -7,6 +7,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from mercato.llm import queries as Q
@@ -142,3 +143,23 @@ def test_pipeline_stages_by_brute_force(spark, docs):
         else:
             assert after.keys() == {i for i, _ in before} - {d for d, _ in brute.leaks(before, items)}
         now = out
+
+
+def test_token_counts_equal_the_library(spark, docs):
+    library = Tokenizer.from_file(Q.WORD_VOCABULARY)
+    got = {r["doc_id"]: tuple(r)[1:] for r in rows(spark, "op11_token_counts")}
+    for i, t in docs:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        assert got[i] == (len((t or "").encode()), n, n > 2048)
+
+
+def test_collocations(spark):
+    docs = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert sorted(map(tuple, rows(spark, "op12_collocations"))) == brute.phrases(docs)
+
+
+def test_periodic_runs(spark, docs):
+    short = {i: t for i, t in docs if len(brute.words(t)) <= 1_500}  # the brute force is cubic
+    got = {r["doc_id"]: tuple(r)[1:] for r in rows(spark, "op13_periodic_runs")}
+    assert got.keys() == {i for i, _ in docs} and len(short) > 0.8 * len(docs)
+    assert {i: got[i] for i in short} == {i: brute.run_row(i, t) for i, t in short.items()}

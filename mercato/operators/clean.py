@@ -70,19 +70,21 @@ def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if row is not None and row[c] == 1]
 
 
-def impute_median(df: DataFrame, cols: Sequence[str], only_where_null: bool = True) -> DataFrame:
+def impute_median(df: DataFrame, cols: Sequence[str], only_where_null: bool = True, cast: bool = False) -> DataFrame:
     """Fill NULLs of each column with the column's exact median (C4), only
     for columns that hold NULLs, as the reference does.
 
-    All ``cols`` become double, whether or not this batch holds a NULL, since
-    a median can fall between two integers: the schema does not depend on the
-    rows. The median row is a single row, so broadcasting it is safe.
+    A filled column becomes double, since a median can fall between two
+    integers; ``cast=True`` makes all ``cols`` double, so that the schema does
+    not depend on the rows. The median row is a single row, so broadcasting
+    it is safe.
     """
     cols = [c for c in cols if c in df.columns]
     asked = cols
     if only_where_null:
         cols = columns_with_nulls(df, cols)
-    df = df.withColumns({c: F.col(c).cast("double") for c in asked})
+    if cast:
+        df = df.withColumns({c: F.col(c).cast("double") for c in asked})
     if not cols:
         return df
     med = medians(df, cols).select(*[F.col(c).alias(f"_med_{c}") for c in cols])
@@ -169,7 +171,7 @@ def clean(df: DataFrame, keep_returns: bool = True, impute: bool = True, use_log
         cols = [c for c in (key, "quantity", "unit_price") if c in out.columns]
         if variant == "customers":
             cols = [c for c in cols if c != key]
-        out = impute_median(out, cols)
+        out = impute_median(out, cols, cast=True)
     else:
         out = drop_missing_key(out, key)
     out = add_line_total(out)

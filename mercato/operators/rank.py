@@ -192,3 +192,20 @@ def row_positions(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), s
     """Add ``pos`` (0-based position in ``order`` within ``by``) and ``n``."""
     out = running_total(df, F.lit(1), order, by, stable=stable)
     return out.withColumnRenamed("cum_before", "pos").withColumnRenamed("group_total", "n")
+
+
+def number_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add ``pos``, the 0-based position in ``order``, for keys of any type.
+
+    The sorted rows are written once with the partition they fell into; the
+    positions inside a partition are shifted by the sizes of those before it
+    (one row per partition)."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_at": within}).checkpoint(eager=True)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    return placed.join(F.broadcast(shift), "_part").withColumn("pos", F.col("_at") + F.col("_shift")) \
+        .drop("_part", "_at", "_shift")

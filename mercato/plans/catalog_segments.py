@@ -264,7 +264,27 @@ def g16_metric_radar(spark, sf_dir):
 
 
 # -- density, hierarchical, comparison (invariant checks) ----------------------
-@register("g2_dbscan_segments", "G2")
+# From the definition: every pair of customers, labels spread over core pairs until they settle (80 rounds are far
+# beyond the longest chain of core customers in the test tables), clusters numbered by their smallest core customer.
+DBSCAN_SQL = f"""
+, near AS MATERIALIZED (SELECT a.customer_id AS a, b.customer_id AS b FROM z_customers a, z_customers b
+                        WHERE {_sq('a.', 'b.')} <= 0.7 * 0.7),
+core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 10),
+edge AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+spread AS (
+  SELECT 0 AS round, id, id AS root FROM core
+  UNION ALL
+  SELECT round + 1, a, min(root) FROM spread JOIN edge ON b = id WHERE round < 80 GROUP BY round, a
+),
+settled AS (SELECT id, root FROM spread WHERE round = 80),
+numbered AS (SELECT id, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS num FROM settled),
+reached AS (SELECT a AS id, min(num) AS num FROM near JOIN numbered ON b = numbered.id GROUP BY a)
+SELECT customer_id, coalesce(n.num, r.num, -1) AS cluster
+FROM z_customers LEFT JOIN numbered n ON n.id = customer_id LEFT JOIN reached r ON r.id = customer_id
+"""
+
+
+@register("g2_dbscan_segments", "G2", "WITH RECURSIVE" + V.sql(DBSCAN_SQL, V.CUSTOMERS_SQL, V.scaled_sql("standard"))[4:])
 def g2_dbscan_segments(spark, sf_dir):
     from ..operators.cluster.dbscan import dbscan
     return dbscan(V.scaled_customers(spark, sf_dir, materialise=True), FEATS, "customer_id", eps=0.7, min_samples=10)

@@ -110,6 +110,37 @@ def test_dbscan_equals_brute_force(spark, eps, min_samples):
     assert got == want
 
 
+def test_dbscan_keeps_string_keys_and_rows_with_missing_features(spark):
+    df, _ = blobs(spark, n_per=40, noise=15, seed=3)
+    named = df.withColumn("id", F.format_string("k%06d", F.col("id")))
+    gap = spark.createDataFrame([("gap", None, 1.0), ("nan", float("nan"), 1.0), ("inf", 1.0, float("inf"))],
+                                "id string, a double, b double")
+    got = {r["id"]: r["cluster"] for r in dbscan(named.unionByName(gap), FEATS, "id").collect()}
+    assert [got.pop(k) for k in ("gap", "nan", "inf")] == [None, None, None]
+    want = {r["id"]: r["cluster"] for r in dbscan(df, FEATS, "id").collect()}
+    assert got == {f"k{k:06d}": c for k, c in want.items()}
+
+
+def test_dbscan_on_hot_points_and_dense_cells_in_chunks(spark):
+    """A third of the rows are one point, dense sub-cells are met in chunks, and two dense bands lie just apart."""
+    rng = np.random.default_rng(9)
+    pts = [(0.0, 0.0)] * 300 + [tuple(p) for p in rng.uniform((0, 0), (1, 1), (300, 2))] \
+        + [tuple(p) for p in rng.uniform((1.45, 0), (2.4, 1), (300, 2))] \
+        + [tuple(p) for p in rng.uniform((3.3, 0), (6, 4), (60, 2))]
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "id long, a double, b double")
+    pdf = df.toPandas()
+    for eps, least in ((0.5, 10), (0.44, 6), (0.9, 40)):
+        want = _brute_dbscan(pdf[FEATS].to_numpy(), eps, least, pdf["id"].to_numpy())
+        got = {r["id"]: r["cluster"] for r in dbscan(df, FEATS, "id", eps=eps, min_samples=least, chunk=7).collect()}
+        assert got == want
+
+
+def test_dbscan_empty_and_all_noise(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 9.0, 9.0)], "id long, a double, b double")
+    assert {r["cluster"] for r in dbscan(df, FEATS, "id").collect()} == {-1}
+    assert dbscan(df.limit(0), FEATS, "id").count() == 0
+
+
 def test_metrics_match_numpy_definitions(spark):
     df, truth = blobs(spark, n_per=30)
     lab = df.withColumn("cluster", (F.col("id") / 30).cast("int"))

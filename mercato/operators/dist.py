@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rank import exact_quantiles, running_total, value_counts
+from .rank import exact_quantiles, running_total
 from .sample import sample_cap
 
 
@@ -144,19 +144,32 @@ def parallel_profile(df: DataFrame, feats: Sequence[str], key: str, label: str =
     return s.unpivot([key, label], list(feats), "feature", "value")
 
 
-def ecdf(df: DataFrame, col: str, base: int = 0) -> DataFrame:
+#: Rows of a value that one task of the ECDF writes at a time.
+ECDF_CHUNK = 50_000
+
+
+def ecdf(df: DataFrame, col: str, base: int = 0, chunk: int = ECDF_CHUNK) -> DataFrame:
     """Sorted values with their cumulative share ``(i + base) / n`` (W9):
     ``base=0`` starts at 0 (EDA convention), ``base=1`` at 1/n (clustering
     convention).
 
-    Positions come from the value-count table (a value repeated by a third
-    of the rows is one row there) and ``running_total``, never from a window
-    over the whole table; each distinct value then expands back into its
-    rows' consecutive positions."""
-    counts = value_counts(df, [col])
+    Equal values are counted first (map-side combined), so a value repeated by
+    a third of the rows is one row there, and ``running_total`` gives each
+    value its first position, never a window over the whole table. A value
+    expands back into its rows in two steps: into chunks of ``chunk``
+    positions, which are dealt out anew, and each chunk into its positions. No
+    task holds a value whole."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    x = F.col(col).cast("double")
+    counts = df.where(x.isNotNull()).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("_cnt")).checkpoint(eager=True)
     ranked = running_total(counts, "_cnt", ["value"])
-    pos = ranked.select("value", F.explode(F.sequence(F.col("cum_before"), F.col("cum_before") + F.col("_cnt") - 1))
-                        .alias("pos"), "group_total")
+    end = F.col("cum_before") + F.col("_cnt")
+    chunks = ranked.select("value", "group_total", end.alias("_end"),
+                           F.explode(F.sequence(F.col("cum_before"), end - 1, F.lit(chunk).cast("long"))).alias("_from"))
+    dealt = chunks.repartition("value", "_from")
+    pos = dealt.select("value", "group_total", F.explode(F.sequence(
+        "_from", F.least(F.col("_from") + chunk, F.col("_end")) - 1)).alias("pos"))
     return pos.select("value", ((F.col("pos") + base) / F.col("group_total")).alias("ecdf"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .rank import quantile_table, value_counts
+from .rank import quantile_sketch, quantile_table
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -38,19 +38,17 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column (E3),
     exact quantiles (``DataFrame.summary`` would give approximate ones).
 
-    The input is read once, into a value-count table; the moments and the
-    quantiles are both computed from it."""
+    Two passes whatever the number of columns: moments and quantile brackets in
+    one wide aggregate, then the values inside the brackets and counts outside."""
     cols = list(cols or numeric_columns(df))
-    counts = value_counts(df, cols)
-    first = counts.groupBy("column").agg(
-        F.sum("_cnt").alias("count"),
-        (F.sum(F.col("value") * F.col("_cnt")) / F.sum("_cnt")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    spread = counts.join(first.select("column", "mean", "count"), "column").groupBy("column").agg(
-        F.sqrt(F.try_divide(F.sum(F.col("_cnt") * (F.col("value") - F.col("mean")) ** 2),
-                            F.max("count") - 1)).alias("std"))
-    qs = quantile_table(df, cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"], counts=counts)
-    return first.join(spread, "column").join(qs, "column", "left") \
+    probs = [0.25, 0.5, 0.75]
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    sketch = quantile_sketch(df, cols, probs, extra=[f(F.col(c).cast("double")).alias(f"_{k}{i}") for i, c in
+                                                     enumerate(cols) for k, f in stats.items()])
+    moments = sketch.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"_{k}{i}").alias(k) for k in stats])
+                                               for i, c in enumerate(cols)])))
+    qs = quantile_table(df, cols, probs, names=["p25", "p50", "p75"], sketch=sketch)
+    return moments.join(F.broadcast(qs), "column", "left") \
         .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -11,9 +11,8 @@ order in a distributed way:
 3. the per-slice totals (one row per slice and group, small) are summed in
    slice order to give each slice its offset, which is joined back.
 
-Exact quantiles first collapse equal values with a map-side-combined
-``groupBy(value).count()``, so a value that holds a third of the rows becomes
-one row before anything is shuffled.
+Exact quantiles bracket each quantile with a sketch, count what lies outside the
+brackets and shuffle only the distinct values inside them.
 """
 
 from __future__ import annotations
@@ -106,9 +105,13 @@ def running_total(df: DataFrame, weight: str | Column, order: Sequence[str], by:
     # offsets rows <= groups × slices: with a known bound on the groups (one
     # group, or one per column) it is proven small; otherwise count first
     groups = 1 if not by else groups_bound
+    offsets = offsets.withColumnsRenamed({c: f"_by_{c}" for c in [*by, "_slice"]})
     small = F.broadcast(offsets) if groups is not None and groups * len(splits) <= 200_000 \
         else broadcast_if_small(offsets, 200_000)
-    return local.join(small, on=[*by, "_slice"]) \
+    same = F.col("_slice") == F.col("_by__slice")
+    for c in by:  # NULL is a group like any other
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return local.join(small, same).drop(*[f"_by_{c}" for c in [*by, "_slice"]]) \
         .withColumn("cum_before", F.col("_offset") + F.col("_local_incl") - F.col("_w")) \
         .drop("_slice", "_local_incl", "_offset", "_w", "_key")
 
@@ -121,69 +124,118 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     return casted.unpivot(list(by), cols, name, value)
 
 
-def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), materialise: bool = True) -> DataFrame:
-    """``(by…, column, value, _cnt)``: how often each non-NULL value occurs.
+#: Accuracy of the sketch that brackets a quantile (rank error 1 / SKETCH), and how many such errors wide a bracket is.
+SKETCH, SLACK = 2_000, 2.0
+#: Distinct values inside brackets that one window may sort; beyond it running totals are made slice by slice.
+WINDOW_ROWS = 1_000_000
 
-    One pass over the input with map-side combining. The table is written
-    once with a reliable checkpoint, so every later use (slice boundaries,
-    running totals, moments) reads it instead of recomputing the input."""
-    long = unpivot_numeric(df, cols, by).where(F.col("value").isNotNull())
-    counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_cnt"))
-    if materialise:
-        from ..session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        counts = counts.checkpoint(eager=True)
-    return counts
 
+def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], how: str = "inner", rows: int | None = None) -> DataFrame:
+    """``small`` (one row per group; ``rows`` at most, if that is known) next to each row; NULL is a group like any other."""
+    if not by:
+        return df.crossJoin(F.broadcast(small))
+    from .joins import broadcast_if_small
+    side = small.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return df.join(broadcast_if_small(side, 200_000, rows), same, how).drop(*[f"_by_{c}" for c in by])
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), counts: DataFrame | None = None, approx: bool = False,
-                    accuracy: int = 10_000) -> DataFrame:
+
+def quantile_sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                    extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per group, written: for column number i its non-NULL count ``_n{i}`` and, for quantile number j, sketched
+    values ``_lo{i}_{j}`` and ``_hi{i}_{j}`` just below and above it, with any ``extra`` aggregates of the same pass."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    probs = sorted(probs)
+    around = [min(1.0, max(0.0, p + s * SLACK / SKETCH)) for p in probs for s in (-1, 1)]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"_n{i}"), F.percentile_approx(x, around, SKETCH).alias(f"_q{i}")]
+    # A rank may be one off besides the sketch's error; in a small group, where that counts, the bracket is everything.
+    ends = {f"_{end}{i}_{j}": F.when(F.col(f"_n{i}") > 4 * SKETCH, F.col(f"_q{i}")[2 * j + k]).otherwise(F.lit(every))
+            for i in range(len(cols)) for j in range(len(probs)) for k, (end, every) in
+            enumerate((("lo", -math.inf), ("hi", math.inf)))}
+    return df.groupBy(*by).agg(*aggs, *extra).withColumns(ends).drop(*[f"_q{i}" for i in range(len(cols))]) \
+        .checkpoint(eager=True)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                    approx: bool = False, accuracy: int = 10_000, sketch: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
     (pandas ``quantile``, DuckDB ``quantile_cont``), NULLs ignored.
 
-    Returns ``(by…, column, prob, value)``. ``counts`` may pass an existing
-    ``value_counts`` table of the same columns and groups. ``approx=True``
-    trades exactness for one pass with ``percentile_approx`` sketches (rank
-    error about 1/``accuracy``), for very large groups where a second pass
-    is not worth it.
+    Returns ``(by…, column, prob, value)``, no row for a column without values.
+
+    1. One pass sketches every column and brackets each quantile between two
+       values some thousandths of the rows apart (``quantile_sketch``, which
+       may be passed in).
+    2. One pass counts, per column, the distinct values inside the brackets and
+       how many values lie in each gap between them. Only these few rows are
+       shuffled, and a value held by a third of all rows is one of them.
+
+    The order statistics are then picked by running totals over the values in
+    the brackets. A bracket that should miss its order statistic, which the
+    sketch's error bound rules out, raises an error. ``approx=True`` trades
+    exactness for one pass with sketches (rank error about 1/``accuracy``).
     """
-    by = list(by)
+    by, cols, probs = list(by), list(cols), sorted(float(p) for p in probs)
     if approx:
         long = unpivot_numeric(df, cols, by).where(F.col("value").isNotNull())
-        arr = long.groupBy(*by, "column").agg(
-            F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("_qs"))
+        arr = long.groupBy(*by, "column").agg(F.percentile_approx("value", probs, accuracy).alias("_qs"))
         return arr.select(*by, "column", F.posexplode("_qs").alias("_i", "value")) \
-            .withColumn("prob", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)) \
+            .withColumn("prob", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1)) \
             .select(*by, "column", "prob", "value")
-    if counts is None:
-        counts = value_counts(df, cols, by)
-    ranked = running_total(counts, "_cnt", ["value"], by=[*by, "column"],
-                           groups_bound=None if by else len(list(cols)))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    h = (F.col("group_total") - 1) * F.col("prob")
-    lo = F.floor(h)
-    hi = F.least(lo + 1, F.col("group_total") - 1)
-    within = lambda r: (F.col("cum_before") <= r) & (r < F.col("cum_before") + F.col("_cnt"))
-    hits = ranked.select(*by, "column", "value", "_cnt", "cum_before", "group_total",
-                         F.explode(probs_arr).alias("prob")) \
-        .withColumn("_is_lo", within(lo)).withColumn("_is_hi", within(hi)) \
-        .where(F.col("_is_lo") | F.col("_is_hi")) \
-        .withColumn("_frac", h - lo)
-    agg = hits.groupBy(*by, "column", "prob").agg(
-        F.max(F.when(F.col("_is_lo"), F.col("value"))).alias("_v_lo"),
-        F.max(F.when(F.col("_is_hi"), F.col("value"))).alias("_v_hi"),
-        F.max("_frac").alias("_frac"),
-    )
-    return agg.select(*by, "column", "prob",
-                      (F.col("_v_lo") + F.col("_frac") * (F.col("_v_hi") - F.col("_v_lo"))).alias("value"))
+    if sketch is None:
+        sketch = quantile_sketch(df, cols, probs, by)
+    js = range(len(probs))
+    brackets = sketch.select(*by, F.inline(F.array(*[F.struct(
+        F.lit(i).alias("_i"), F.col(f"_n{i}").alias("_n"),
+        *[F.col(f"_{end}{i}_{j}").alias(f"_{end}{j}") for j in js for end in ("lo", "hi")]) for i in range(len(cols))])))
+    names = [str(i) for i in range(len(cols))]
+    long = df.select(*by, *[F.col(c).cast("double").alias(k) for k, c in zip(names, cols, strict=True)]) \
+        .unpivot(by, names, "_i", "value").where(F.col("value").isNotNull()).withColumn("_i", F.col("_i").cast("int"))
+    x, inside, gap = F.col("value"), F.lit(False), F.lit(0)
+    for j in js:  # a value inside a bracket stays, any other is only counted in its gap
+        inside = inside | x.between(F.col(f"_lo{j}"), F.col(f"_hi{j}"))
+        gap = gap + (x > F.col(f"_hi{j}")).cast("int")
+    counts = _attach(long, brackets, [*by, "_i"], rows=None if by else len(cols)) \
+        .select(*by, "_i", F.when(inside, x).alias("value"), F.when(inside, -1).otherwise(gap).alias("_gap")) \
+        .groupBy(*by, "_i", "_gap", "value").agg(F.count(F.lit(1)).alias("_cnt")).checkpoint(eager=True)
+    each = _attach(counts, brackets, [*by, "_i"], rows=None if by else len(cols)).select(
+        *by, "_i", "_n", "_gap", "value", "_cnt", F.inline(F.array(*[F.struct(
+            F.lit(j).alias("_j"), F.col(f"_lo{j}").alias("_lo"), F.col(f"_hi{j}").alias("_hi")) for j in js])))
+    under = each.where("value < _lo OR (_gap >= 0 AND _gap <= _j)").groupBy(*by, "_i", "_j").agg(F.sum("_cnt").alias("_below"))
+    counts = each.where(F.col("value").between(F.col("_lo"), F.col("_hi"))).drop("_gap", "_lo", "_hi")
+    from .joins import fits
+    group = [*by, "_i", "_j"]
+    if fits(counts, WINDOW_ROWS):
+        before = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("cum_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    else:
+        ranked = running_total(counts, "_cnt", ["value"], by=group).drop("group_total")
+    ranked = _attach(ranked, under, group, "left", rows=None if by else len(cols) * len(probs)).withColumn("_below", F.coalesce("_below", F.lit(0)))
+    h = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_j") + 1)
+    first = F.col("_below") + F.col("cum_before")
+    within = lambda r: (first <= r) & (r < first + F.col("_cnt"))
+    low, high = F.floor(h), F.least(F.floor(h) + 1, F.col("_n") - 1)
+    picked = ranked.groupBy(*group).agg(
+        F.max(F.when(within(low), F.col("value"))).alias("_low"), F.max(F.when(within(high), F.col("value"))).alias("_high"),
+        F.max(h - low).alias("_part"))
+    value = F.when(F.col("_low").isNotNull() & F.col("_high").isNotNull(),
+                   F.col("_low") + F.col("_part") * (F.col("_high") - F.col("_low"))) \
+        .otherwise(F.raise_error(F.lit("a sketched bracket missed its quantile")))
+    return picked.select(*by, F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_i") + 1).alias("column"),
+                         F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_j") + 1).alias("prob"), value.alias("value"))
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                   names: Sequence[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
+                   names: Sequence[str] | None = None, sketch: DataFrame | None = None) -> DataFrame:
     """Wide form: one row per ``(by…, column)``, one column per probability."""
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    long = exact_quantiles(df, cols, probs, by, counts=counts)
+    long = exact_quantiles(df, cols, probs, by, sketch=sketch)
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(nm) for p, nm in zip(probs, names)]
     return long.groupBy(*by, "column").agg(*aggs)
 

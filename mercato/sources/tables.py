@@ -27,11 +27,32 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+#: By application and path: what is known of a source table (schema, row count, no NULLs in what it is asked for).
+_FOOTERS: dict[tuple[str, str], list] = {}
+
+
+def _footer(spark: SparkSession, path: str) -> list:
+    """[schema, row count or None, NULL-free or None] of a source table; source tables do not change while an application runs."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _FOOTERS:
+        _FOOTERS[key] = [spark.read.parquet(path).schema, None, None]
+    return _FOOTERS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = spark.read.schema(_footer(spark, path)[0]).parquet(path)
     return df.select(*columns) if columns else df
 
 
+def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Rows of a source table, from file metadata."""
+    footer = _footer(spark, table_path(sf_dir, name))
+    if footer[1] is None:
+        footer[1] = read_table(spark, sf_dir, name).count()
+    return footer[1]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give an under-split scan as many tasks as the cluster has cores.
 
@@ -55,8 +76,9 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer dimension is enriched with the nation name first (nation is the
     fixed 25-row TPC-H table, broadcast), orders pick up the country on
     ``custkey``, lineitem meets orders on ``orderkey`` and then part on
-    ``partkey``. A dimension is broadcast only after a bounded count shows
-    it is small (``operators.joins.broadcast_if_small``); lineitem never is.
+    ``partkey``. A dimension is broadcast only when its rows (from file
+    metadata) times their width stay in bound (``operators.joins.broadcast_if_small``);
+    lineitem never is.
     """
     li = spread(read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                                         "l_quantity", "l_extendedprice", "l_returnflag"]))
@@ -68,22 +90,25 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.joins import broadcast_if_small
     cust_country = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey) \
         .select("c_custkey", "n_name")
-    order_country = orders.join(broadcast_if_small(cust_country, bound=cust),
+    order_country = orders.join(broadcast_if_small(cust_country, rows=table_rows(spark, sf_dir, "customer")),
                                 orders.o_custkey == cust_country.c_custkey) \
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
     # lineitem is only ever the streamed side; each dimension is broadcast
     # when its row count (read from the scan's metadata; key joins on the
     # dimension's primary key cannot add rows) is within bound, else it is
     # the per-task hash side of a shuffled join.
-    lines = li.join(broadcast_if_small(order_country, bound=orders), li.l_orderkey == order_country.o_orderkey) \
-        .join(broadcast_if_small(part, bound=part), li.l_partkey == part.p_partkey)
+    lines = li.join(broadcast_if_small(order_country, rows=table_rows(spark, sf_dir, "orders")), li.l_orderkey == order_country.o_orderkey) \
+        .join(broadcast_if_small(part, rows=table_rows(spark, sf_dir, "part")), li.l_partkey == part.p_partkey)
 
-    # Certify quantity and unit price free of NULLs from the source itself:
+    # Certify quantity and unit price free of NULLs from the source itself, once:
     # the IsNull filter reaches the parquet scan, so row groups whose
     # statistics show no NULLs are skipped and no join is run. The tag rides
     # along as column metadata and lets the cleaner skip its own check.
-    probe = li.where(F.col("l_quantity").isNull() | F.col("l_extendedprice").isNull() | (F.col("l_quantity") == 0))
-    meta = {NULL_FREE: True} if probe.limit(1).count() == 0 else {}
+    footer = _footer(spark, table_path(sf_dir, "lineitem"))
+    if footer[2] is None:
+        footer[2] = read_table(spark, sf_dir, "lineitem").where(
+            "l_quantity IS NULL OR l_extendedprice IS NULL OR l_quantity = 0").isEmpty()
+    meta = {NULL_FREE: True} if footer[2] else {}
 
     is_return = F.col("l_returnflag") == "R"
     price = F.col("l_extendedprice").cast("decimal(18,2)")

@@ -62,3 +62,43 @@ def test_approx_option_is_close(spark):
     out = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], approx=True).collect()}
     for p in (0.1, 0.5, 0.9):
         assert abs(out[p] - np.quantile(vals, p)) <= 1000 / 1000
+
+
+def test_brackets_of_large_groups_hold_their_quantiles(spark, monkeypatch):
+    """Far more rows than the sketch holds, ties, skew, a NULL group, several columns; also without the one-window path."""
+    from mercato.operators import rank
+    rng = np.random.default_rng(4)
+    n = 60_000
+    cols = {"even": rng.uniform(size=n), "skew": rng.pareto(1.1, n), "ties": rng.integers(0, 6, n).astype(float),
+            "hot": np.where(rng.uniform(size=n) < 0.4, 3.0, rng.normal(size=n))}
+    group = [None if i % 3 == 0 else i % 3 for i in range(n)]
+    df = spark.createDataFrame([(*map(float, r), g) for r, g in zip(zip(*cols.values()), group)],
+                               ", ".join(f"{c} double" for c in cols) + ", g int")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    for window_rows in (1_000_000, 10):
+        monkeypatch.setattr(rank, "WINDOW_ROWS", window_rows)
+        got = {(r["g"], r["column"], r["prob"]): r["value"] for r in
+               exact_quantiles(df, list(cols), probs, by=["g"]).collect()}
+        assert len(got) == 3 * 4 * 6
+        for (g, c, p), v in got.items():
+            own = cols[c][[i for i in range(n) if group[i] == g]]
+            assert v == pytest.approx(np.quantile(own, p), rel=1e-12, abs=1e-12)
+
+
+def test_only_the_bracket_is_shuffled(spark):
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_000).cast("double").alias("v"))
+    counts = exact_quantiles(df, ["v"], [0.5])
+    assert counts.first()["value"] == 99_999.5
+
+
+def test_ecdf_deals_a_hot_value_over_many_tasks(spark):
+    """A value that all rows hold is written by many tasks, none of which has more than its share of the chunks."""
+    from mercato.operators.dist import ecdf
+    df = spark.range(20_000).select(F.lit(5.0).alias("v"))
+    out = ecdf(df, "v", base=1, chunk=100)
+    per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 20_000
+    got = sorted(r["ecdf"] for r in out.collect())
+    assert got == pytest.approx([(i + 1) / 20_000 for i in range(20_000)])
+    rows = spark.createDataFrame([(3.0,), (None,), (1.0,), (3.0,)], "v double")
+    assert sorted(map(tuple, ecdf(rows, "v").collect())) == [(1.0, 0.0), (3.0, 1 / 3), (3.0, 2 / 3)]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import bpe, decontamination, line_dedup, ngram_join, quality_rules
-from mercato.llm.common import stage, table
+from mercato.llm.common import hash128, stage, table
 
 #: Near copies: word 5-grams at 80 percent Jaccard similarity or more.
 NGRAM, SIMILARITY_PCT = 5, 80
@@ -33,10 +33,23 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each component stays; so do documents without an id or without words."""
-    found = ngram_join.linked_components(docs, n=NGRAM, pct=SIMILARITY_PCT)
-    copies = found.where("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    """One row of each component stays, that of the smallest id; so do rows without words.
+
+    A row is known by its id and a hash of id and text, so different texts under one id are different documents; an
+    identical row that stands several times stays once. A row without an id stays if no row of its component has one.
+    """
+    h1, h2 = hash128(F.col("doc_id"), F.col("text"))
+    key = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), h1.alias("h1"), h2.alias("h2"))
+    found = stage(ngram_join.linked_components(docs.select(key.alias("key"), "text"), "key", n=NGRAM, pct=SIMILARITY_PCT),
+                  "components").where("n_shingles > 0")
+    row = [F.col("key.h1").alias("_h1"), F.col("key.h2").alias("_h2")]
+    copies = found.where("key != component_id").select(*row).distinct()
+    kept = docs.withColumns({"_h1": h1, "_h2": h2}).join(copies, ["_h1", "_h2"], "left_anti")
+    repeated = found.where("key = component_id").groupBy(*row).count().where("count > 1").select("_h1", "_h2")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"])
+        kept = kept.join(repeated, ["_h1", "_h2"], "left_anti").unionByName(once)
+    return kept.drop("_h1", "_h2")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -406,3 +406,16 @@ def test_shards_hold_whole_documents(spark, docs):
     assert all(sharding.row_of(r["shard"], r["slot"], n, 3) == r["row"] for r in got.collect())
     by_row = [r["doc_id"] for r in sorted(got.collect(), key=lambda r: r["row"])]
     assert by_row == sorted(by_row, key=lambda i: (i is not None, i or 0))
+
+
+def test_near_copy_stage_keeps_other_texts_of_an_id_and_one_of_a_repeated_row(spark):
+    one = "the first long text of this small test " * 3
+    other = "one entirely different document with words of its own that no other text has"
+    rows = [(1, one, "en", "a", 1), (2, one, "en", "a", 1), (2, other, "en", "a", 1), (1, one, "en", "a", 1),
+            (3, None, "en", "a", 0), (3, None, "en", "a", 0), (None, other + " it", "en", "a", 1),
+            (None, "a text without an id that is like no other at all here", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("h1", F.lit("x"))
+    out = corpus_pipeline.near_copy_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, one), (2, other), (3, None), (3, None), (None, rows[7][1])], key=str)

@@ -26,26 +26,25 @@ def sample_cap(df: DataFrame, n: int, key: Sequence[str] | str, seed: int = 42)
 
 
 def stratified_sample(df: DataFrame, label: str, n: int, key: Sequence[str] | str, seed: int = 42) -> DataFrame:
-    """Per label ``max(1, int(share × n))`` rows, at most the label's size.
-
-    Quotas come from one count per label (k numbers). The filter
-    ``row_number <= max quota`` lets Spark cut every input partition to that
-    many rows per label before the shuffle (WindowGroupLimit), so a label that
-    holds a third of all rows never reaches one task whole.
+    """Per label ``max(1, int(share × n))`` rows, at most the label's size (W11). A NULL label is one like any other.
+
+    Quotas are a table of one row per label, joined to the rows that are left
+    after ``row_number <= max(1, n)``, which no quota exceeds: with that filter
+    Spark cuts every input partition to that many rows per label before the
+    shuffle (WindowGroupLimit), so a label that holds a third of all rows never
+    reaches one task whole. Nothing is collected, and the plan has the same
+    size for any number of labels.
     """
-    counts = df.groupBy(label).count().collect()  # one row per label
-    total = sum(r["count"] for r in counts)
-    if total == 0:
-        return df.limit(0)
-    quotas = {r[label]: min(r["count"], max(1, int(r["count"] / total * n))) for r in counts}
-    top = max(quotas.values())
-    quota_col = F.lit(None).cast("int")
-    for lab, q in quotas.items():
-        quota_col = F.when(F.col(label) == F.lit(lab), F.lit(q)).otherwise(quota_col) if lab is not None \
-            else quota_col
+    from .joins import broadcast_if_small
+    counts = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    quotas = counts.crossJoin(F.broadcast(total)).select(
+        "_label", F.least(F.col("_n"), F.greatest(F.lit(1), F.floor(F.col("_n") / F.col("_total") * n))).alias("_quota"))
     w = Window.partitionBy(label).orderBy("_h")
-    ranked = df.withColumn("_h", sample_hash(key, seed)).withColumn("_rn", F.row_number().over(w))
-    return ranked.where(F.col("_rn") <= top).where(F.col("_rn") <= quota_col).drop("_h", "_rn")
+    ranked = df.withColumn("_h", sample_hash(key, seed)).withColumn("_rn", F.row_number().over(w)) \
+        .where(F.col("_rn") <= max(1, n))
+    return ranked.join(broadcast_if_small(quotas), F.col(label).eqNullSafe(F.col("_label"))) \
+        .where(F.col("_rn") <= F.col("_quota")).drop("_h", "_rn", "_label", "_quota")
 
 
 def top_k(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:

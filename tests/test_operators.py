@@ -121,3 +121,21 @@ def test_colour_histogram_falls_back_to_the_measured_column(spark):
     assert sum(by_g.values()) == 3 and {k[0] for k in by_g} == {"a", "b"}
     fallback = D.colour_histogram(df, "total_spent", "no_such_column", 3).collect()
     assert sorted(float(r["colour"]) for r in fallback) == [1.0, 2.0, 3.0]
+
+
+def test_stratified_sample_keeps_null_labels_and_rare_ones(spark):
+    from mercato.operators.sample import stratified_sample
+    rows = [(i, "a") for i in range(70)] + [(i, None) for i in range(70, 99)] + [(99, "rare")]
+    df = spark.createDataFrame(rows, "id long, label string")
+    got = stratified_sample(df, "label", 10, "id").collect()
+    sizes = {lab: sum(r["label"] == lab for r in got) for lab in ("a", None, "rare")}
+    assert sizes == {"a": 7, None: 2, "rare": 1}
+    assert got[0].asDict().keys() == {"id", "label"}
+    assert stratified_sample(df.limit(0), "label", 10, "id").count() == 0
+
+
+def test_stratified_sample_plan_does_not_grow_with_labels(spark):
+    from mercato.operators.sample import stratified_sample
+    plans = [stratified_sample(spark.range(500).withColumn("label", F.col("id") % k), "label", 50, "id")
+             ._jdf.queryExecution().optimizedPlan().toString() for k in (2, 400)]
+    assert abs(len(plans[0]) - len(plans[1])) < 50 and "CASE WHEN" not in plans[1]

@@ -21,36 +21,47 @@ def _sq_dist(feats: Sequence[str], prefix: str = "_c_"):
     return total
 
 
+def label_table(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+    """One row per label, written: size, and mean and population variance of every feature.
+
+    One pass over the rows; Spark merges counts, means and variances of partial groups without cancellation. All that
+    the dispersion metrics need is in these rows, so however many labels there are, none is sent to the rows again."""
+    from ...session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    stats = [a for f in feats for a in (F.avg(f).alias(f"_c_{f}"), F.var_pop(f).alias(f"_v_{f}"))]
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *stats).checkpoint(eager=True)
+
+
 def centroids(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
-    """One row per cluster: size and mean of every feature (k rows)."""
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(f).alias(f"_c_{f}") for f in feats])
+    """One row per cluster: size and mean of every feature."""
+    return label_table(df, feats, label).select(label, "_n", *[f"_c_{f}" for f in feats])
 
 
 def with_centroid_distance(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
-    """Rows plus ``_sq`` = squared distance to their own cluster centroid."""
-    cents = centroids(df, feats, label)
-    joined = df.join(F.broadcast(cents), on=label)
-    return joined.withColumn("_sq", _sq_dist(feats))
+    """Rows plus ``_sq`` = squared distance to their own cluster centroid. The
+    centroids are broadcast only if they are few, and joined by shuffle otherwise."""
+    from ..joins import broadcast_if_small
+    return df.join(broadcast_if_small(centroids(df, feats, label), 200_000), on=label).withColumn("_sq", _sq_dist(feats))
+
+
+def _within(feats: Sequence[str]):
+    return F.sum(F.col("_n") * sum((F.col(f"_v_{f}") for f in feats), F.lit(0.0)))
 
 
 def inertia(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
-    """Sum of squared distances to the cluster centroids."""
-    return with_centroid_distance(df, feats, label).agg(F.sum("_sq").alias("inertia"))
+    """Sum of squared distances to the cluster centroids (G9): sizes times variances."""
+    return label_table(df, feats, label).where(F.col(label).isNotNull()).agg(_within(feats).alias("inertia"))
 
 
 def calinski_harabasz(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
     """Between/within dispersion ratio (G7); NULL with fewer than two labels
-    (G11), 1.0 when the within dispersion is 0."""
-    cents = centroids(df, feats, label)
-    overall = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.avg(f).alias(f"_m_{f}") for f in feats])
-    between_terms = [F.col("_n") * (F.col(f"_c_{f}") - F.col(f"_m_{f}")) ** 2 for f in feats]
-    b = between_terms[0]
-    for t in between_terms[1:]:
-        b = b + t
-    between = cents.crossJoin(F.broadcast(overall)).agg(
-        F.sum(b).alias("_B"), F.count(F.lit(1)).alias("_k"), F.first("_rows").alias("_rows"))
-    within = with_centroid_distance(df, feats, label).agg(F.sum("_sq").alias("_W"))
-    out = between.crossJoin(within)
+    (G11), 1.0 when the within dispersion is 0. One pass over the rows."""
+    table = label_table(df, feats, label).where(F.col(label).isNotNull())
+    means = [(F.sum(F.col("_n") * F.col(f"_c_{f}")) / F.sum("_n")).alias(f"_m_{f}") for f in feats]
+    gap = sum(((F.col(f"_c_{f}") - F.col(f"_m_{f}")) ** 2 for f in feats), F.lit(0.0))
+    out = table.crossJoin(F.broadcast(table.agg(*means))).agg(
+        F.sum(F.col("_n") * gap).alias("_B"), _within(feats).alias("_W"), F.count(F.lit(1)).alias("_k"),
+        F.sum("_n").alias("_rows"))
     score = F.when(F.col("_k") < 2, F.lit(None).cast("double")) \
         .when(F.col("_W") == 0, F.lit(1.0)) \
         .otherwise(F.col("_B") * (F.col("_rows") - F.col("_k")) / (F.col("_W") * (F.col("_k") - 1)))

@@ -208,3 +208,14 @@ def test_full_squared_silhouette_matches_spark_evaluator(spark):
     ref = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                               distanceMeasure="squaredEuclidean").evaluate(vec)
     assert ours == pytest.approx(ref, rel=1e-9, abs=1e-12)
+
+
+def test_dispersion_of_a_hundred_thousand_labels_sends_none_to_the_rows(spark):
+    """One row per label is kept as a row: neither the inertia nor the Calinski-Harabasz score broadcasts them."""
+    df = spark.range(200_000).selectExpr("id", "int(id % 100000) AS cluster", "double(id % 100000) AS a",
+                                         "IF(id < 100000, 1e6 + 1, 1e6 - 1) AS b")
+    assert Me.inertia(df, FEATS).first()["inertia"] == pytest.approx(200_000)
+    plan = Me.calinski_harabasz(df, FEATS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") <= 1  # the one row of overall means
+    between = 2 * sum((i - 49_999.5) ** 2 for i in range(100_000))
+    assert Me.calinski_harabasz(df, FEATS).first()[0] == pytest.approx(between * 100_000 / (200_000 * 99_999))

@@ -1,13 +1,12 @@
 """ARIMA(p, d, q) per series key by the Hannan-Rissanen two-stage method.
 
-1. difference the train series d times (lag windows per key),
+1. difference the train series d times and take its lags (one window per key),
 2. fit a long AR(m) by least squares; its residuals estimate the shocks,
 3. regress the differenced value on p own lags and q lagged shocks.
 
-Both least-squares fits are reduced to per-key normal equations XᵀX, Xᵀy by
-one ``groupBy(keys).agg(sum(...))`` each: the rows never leave their tasks,
-only (m+1)² sums per key do. A small pandas UDF solves each key's system and
-runs the recursive forecast from the key's last few values.
+Both least-squares fits are one ``groupBy(keys)`` of sums of products each, whose small systems are solved a batch of
+keys at a time. The aggregation of stage 3 also picks the state that the forecast starts from, which is the key's last
+row; the paths of a batch of keys are rolled forward together, one array step per day.
 """
 
 from __future__ import annotations
@@ -21,51 +20,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from ..series import fill_forward_back
+from .least_squares import dot, gram_aggs, join_keys, solve
 from .panel import holdout, prediction_frame, train
 
 MODEL = "arima"
 
 
-def _gram_aggs(feats: Sequence[str], y: str):
-    aggs = []
-    for i, a in enumerate(feats):
-        for b in feats[i:]:
-            aggs.append(F.sum(F.col(a) * F.col(b)).alias(f"_g_{a}__{b}"))
-        aggs.append(F.sum(F.col(a) * F.col(y)).alias(f"_r_{a}"))
-    return aggs
-
-
-def _gram_arrays(feats: Sequence[str]):
-    """Columns → (flat symmetric matrix, rhs) arrays."""
-    cells = []
-    for a in feats:
-        for b in feats:
-            i, j = feats.index(a), feats.index(b)
-            lo, hi = (a, b) if i <= j else (b, a)
-            cells.append(F.col(f"_g_{lo}__{hi}"))
-    return F.array(*cells).alias("_xtx"), F.array(*[F.col(f"_r_{a}") for a in feats]).alias("_xty")
-
-
-@F.pandas_udf(ArrayType(DoubleType()))
-def _solve(xtx: pd.Series, xty: pd.Series) -> pd.Series:
-    out = []
-    for m, r in zip(xtx, xty):
-        r = np.asarray(r, dtype=float)
-        k = len(r)
-        a = np.asarray(m, dtype=float).reshape(k, k)
-        beta, *_ = np.linalg.lstsq(a, r, rcond=None)
-        out.append(beta.tolist())
-    return pd.Series(out)
-
-
-def _fit(rows: DataFrame, keys: Sequence[str], feats: Sequence[str], y: str) -> DataFrame:
-    g = rows.groupBy(*keys).agg(*_gram_aggs(feats, y), F.count(F.lit(1)).alias("_n"))
-    xtx, xty = _gram_arrays(feats)
-    return g.select(*keys, "_n", _solve(xtx, xty).alias("_beta"))
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(right, on=list(keys)) if keys else left.crossJoin(F.broadcast(right))
+def roll_forward(coef: np.ndarray, z: np.ndarray, e: np.ndarray, level: np.ndarray, steps: int, p: int, q: int,
+                 d: int) -> np.ndarray:
+    """Paths, keys x steps. ``coef`` holds the constant (``d = 0`` only), p
+    weights of the values and q of the shocks; ``z`` and ``e`` hold the last
+    values and shocks, most recent first. Coming shocks are zero."""
+    const = np.zeros(len(coef)) if d else coef[:, 0]
+    ar = coef[:, 0 if d else 1:][:, :p]
+    ma = coef[:, (0 if d else 1) + p:]
+    z, e, out = z[:, :p].copy(), e[:, :q].copy(), np.empty((len(coef), steps))
+    for h in range(steps):
+        nxt = const + (ar * z).sum(axis=1) + (ma * e).sum(axis=1)
+        z = np.column_stack([nxt, z[:, :-1]]) if p else z
+        e = np.column_stack([np.zeros(len(e)), e[:, :-1]]) if q else e
+        level = level + nxt if d else nxt
+        out[:, h] = level
+    return out
 
 
 def forecast_arima(panel: DataFrame, keys: Sequence[str] = (), p: int = 3, d: int = 1, q: int = 1,
@@ -78,79 +54,50 @@ def forecast_arima(panel: DataFrame, keys: Sequence[str] = (), p: int = 3, d: in
     reference does for daily frequency gaps."""
     if d not in (0, 1):
         raise ValueError("d must be 0 or 1")
+    if max(p, q) > long_ar:
+        raise ValueError("long_ar must not be smaller than p and q")
     keys = list(keys)
     spec = Window.partitionBy(*keys).orderBy(t)
+    is_train = F.col("split") == "train"
+    spans = panel.groupBy(*keys).agg(F.count(F.when(is_train, 1)).alias("_len"),
+                                     F.max(F.when(is_train, F.col(t))).alias("_t_end"), F.max(t).alias("_t_max"))
+    spans = spans.where(F.col("_len") >= min_points).select(
+        *keys, "_t_end", (F.col("_t_max") - F.col("_t_end")).cast("int").alias("_steps"))
     # forward then backward fill of the train series (W2); a no-op on a
     # zero-filled panel, it matters for panels built without gap filling
-    tr = fill_forward_back(train(panel).select(*keys, "day", t, y), keys, "day", y).select(*keys, t, y)
-    sizes = tr.groupBy(*keys).agg(F.count(F.lit(1)).alias("_len"), F.max(t).alias("_t_end"))
-    tr = _join_keys(tr, sizes.where(F.col("_len") >= min_points).select(*keys, "_t_end"), keys)
-
-    x = tr.withColumn("_z", F.col(y).cast("double"))
-    for k in range(d):
-        x = x.withColumn("_z", F.col("_z") - F.lag("_z", 1).over(spec))
-    for i in range(1, long_ar + 1):
-        x = x.withColumn(f"_l{i}", F.lag("_z", i).over(spec))
-    x = x.withColumn("_one", F.lit(1.0))
+    x = fill_forward_back(train(panel).select(*keys, "day", t, y), keys, "day", y) \
+        .select(*keys, t, F.col(y).cast("double").alias("_y"))
+    x = x.withColumn("_z", F.col("_y") - F.lag("_y", 1).over(spec) if d else F.col("_y"))
+    x = x.withColumns({f"_l{i}": F.lag("_z", i).over(spec) for i in range(1, long_ar + 1)}) \
+        .withColumn("_one", F.lit(1.0))
 
     # Stage 1: long AR → shock estimates.
     const = [] if d else ["_one"]  # a constant in the differences would be a drift of the levels
-    s1_feats = [*const, *[f"_l{i}" for i in range(1, long_ar + 1)]]
-    s1_rows = x.where(F.col(f"_l{long_ar}").isNotNull())
-    b1 = _fit(s1_rows, keys, s1_feats, "_z")
-    fitted = sum((F.col("_beta")[i] * F.col(c) for i, c in enumerate(s1_feats)), F.lit(0.0))
-    e = _join_keys(s1_rows, b1.select(*keys, "_beta"), keys).withColumn("_e", F.col("_z") - fitted).drop("_beta")
-    for j in range(1, q + 1):
-        e = e.withColumn(f"_e{j}", F.lag("_e", j).over(spec))
-
-    # Stage 2: ARMA regression.
-    s2_feats = [*const, *[f"_l{i}" for i in range(1, p + 1)], *[f"_e{j}" for j in range(1, q + 1)]]
-    s2_rows = e.where(F.col(f"_e{q}").isNotNull()) if q else e
-    b2 = _fit(s2_rows, keys, s2_feats, "_z").select(*keys, F.col("_beta").alias("_coef"))
-
-    # Tail of each key: last p differenced values, last q shocks, last d levels.
-    last = Window.partitionBy(*keys).orderBy(F.desc(t))
-    tail_n = max(p, q, d, 1)
-    tail = e.withColumn("_r", F.row_number().over(last)).where(F.col("_r") <= tail_n)
-    levels = tr.withColumn("_r", F.row_number().over(last)).where(F.col("_r") <= max(d, 1))
-
-    def recent_first(c):  # values ordered most recent first, as doubles
-        return F.transform(F.sort_array(F.collect_list(F.struct(F.col("_r"), F.col(c).cast("double").alias("v")))),
-                           lambda s: s["v"])
-    tails = tail.groupBy(*keys).agg(recent_first("_z").alias("_zs"), recent_first("_e").alias("_es"))
-    lv = levels.groupBy(*keys).agg(recent_first(y).alias("_ys"), F.max(t).alias("_t_end"))
-    ho = holdout(panel)
-    horizon = ho.groupBy(*keys).agg(F.max(t).alias("_t_max"))
-    state = _join_keys(_join_keys(_join_keys(tails, lv, keys), b2, keys), horizon, keys)
+    long_lags = [*const, *[f"_l{i}" for i in range(1, long_ar + 1)]]
+    s1 = x.where(F.col(f"_l{long_ar}").isNotNull())
+    b1 = s1.groupBy(*keys).agg(*gram_aggs(long_lags, "_z"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0)
+    b1 = join_keys(b1.select(*keys, solve()("_xtx", "_xty").alias("_beta")), spans, keys)
+    e = join_keys(s1, b1, keys).withColumn("_e", F.col("_z") - dot("_beta", long_lags)).drop("_beta")
+    e = e.withColumns({f"_e{j}": F.lag("_e", j).over(spec) for j in range(1, q + 1)})
+
+    # Stage 2: ARMA regression, and the last row's values, shocks and level.
+    feats = [*const, *[f"_l{i}" for i in range(1, p + 1)], *[f"_e{j}" for j in range(1, q + 1)]]
+    s2 = e.where(F.col(f"_e{q}").isNotNull()) if q else e
+    recent = F.struct(F.array("_z", *[f"_l{i}" for i in range(1, max(p, 1))]).alias("z"),
+                      F.array("_e", *[f"_e{j}" for j in range(1, max(q, 1))]).alias("e"), F.col("_y").alias("level"))
+    state = s2.groupBy(*keys).agg(*gram_aggs(feats, "_z"), F.max_by(recent, F.col(t)).alias("_last"),
+                                  F.max("_t_end").alias("_t_end"), F.max("_steps").alias("_steps"))
+    state = state.where(F.col("_steps") > 0).withColumn("_coef", solve()("_xtx", "_xty"))
 
     @F.pandas_udf(ArrayType(DoubleType()))
-    def path(coef: pd.Series, zs: pd.Series, es: pd.Series, ys: pd.Series, steps: pd.Series) -> pd.Series:
-        out = []
-        for c, z, ee, yy, h in zip(coef, zs, es, ys, steps):
-            c = np.asarray(c, dtype=float)
-            c = np.concatenate([[0.0], c]) if d else c
-            zhist = [float(v) for v in z]          # most recent first
-            ehist = [float(v) for v in ee]
-            ylev = [float(v) for v in yy]
-            res = []
-            zq, eq, level = list(zhist), list(ehist), list(ylev)
-            for _ in range(int(h)):
-                val = c[0] + sum(c[1 + i] * zq[i] for i in range(p) if i < len(zq)) \
-                    + sum(c[1 + p + j] * eq[j] for j in range(q) if j < len(eq))
-                zq.insert(0, val)
-                eq.insert(0, 0.0)
-                if d == 0:
-                    yv = val
-                else:
-                    yv = level[0] + val
-                level.insert(0, yv)
-                res.append(yv)
-            out.append(res)
-        return pd.Series(out)
-
-    steps = (F.col("_t_max") - F.col("_t_end")).cast("int")
-    fc = state.select(*keys, "_t_end",
-                      F.posexplode(path("_coef", "_zs", "_es", "_ys", steps)).alias("_h", "predicted"))
+    def path(coef: pd.Series, z: pd.Series, shocks: pd.Series, level: pd.Series, steps: pd.Series) -> pd.Series:
+        if len(coef) == 0:
+            return pd.Series([], dtype=object)
+        paths = roll_forward(np.stack(coef.to_numpy()), np.stack(z.to_numpy()), np.stack(shocks.to_numpy()),
+                             level.to_numpy(dtype=float), int(steps.max()), p, q, d)
+        return pd.Series([row[:n] for row, n in zip(paths, steps)])
+
+    fc = state.select(*keys, "_t_end", F.posexplode(path("_coef", "_last.z", "_last.e", "_last.level", "_steps"))
+                      .alias("_h", "predicted"))
     fc = fc.withColumn(t, F.col("_t_end") + F.col("_h") + 1).drop("_t_end", "_h")
-    out = ho.join(fc, on=[*keys, t])
-    return prediction_frame(out, MODEL, keys)
+    return prediction_frame(holdout(panel).join(fc, on=[*keys, t]), MODEL, keys)

@@ -7,13 +7,15 @@ validation and test days.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import aggregates as A
 from .. import series as W
+from ..clean import add_log, inverse_log
 
 
 def build_panel(lines: DataFrame, keys: Sequence[str] = (), value: str = "sales", test_days: int = 31,
@@ -50,3 +52,27 @@ def holdout(panel: DataFrame) -> DataFrame:
 
 def train(panel: DataFrame) -> DataFrame:
     return panel.where(F.col("split") == "train")
+
+
+def per_key(rows: DataFrame, keys: Sequence[str], fit: Callable[[tuple, pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """``fit(key values, one key's days)`` for every key, next to a ``predicted``
+    column. A group is one key's daily series, which is bounded by the calendar
+    span; without keys it is the single series."""
+    keys = list(keys)
+    schema = rows.withColumn("predicted", F.lit(0.0)).schema
+    if keys:
+        return rows.groupBy(*keys).applyInPandas(fit, schema)
+
+    def single(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return fit((), pdf.drop(columns=["_all"]))
+    return rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(single, schema)
+
+
+def in_log_space(forecast: Callable[..., DataFrame], panel: DataFrame, keys: Sequence[str] = (), y: str = "sales",
+                 **kw) -> DataFrame:
+    """The forecast of a model fitted to log1p of the target (C9), with its
+    actual and predicted values mapped back by expm1 (C10). A day whose sum is
+    −1 or less (returns) has no logarithm: it is a missing day to the model
+    and has no actual value, so that scores leave it out."""
+    logged = add_log(panel, y, y)
+    return inverse_log(forecast(logged, keys, y=y, **kw), ["actual", "predicted"])

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .panel import prediction_frame
+from .panel import per_key, prediction_frame
 
 MODEL = "seasonal"
 
@@ -40,12 +40,10 @@ def forecast_seasonal(panel: DataFrame, keys: Sequence[str] = (), y: str = "sale
     extrapolation runs away); ``'on'`` always fits them."""
     keys = list(keys)
     rows = panel.select(*keys, "day", "split", t, F.col(y).cast("double").alias("_y"))
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keys]
-                       + ["day date", "split string", f"{t} int", "_y double", "predicted double"])
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(t)
-        tr = pdf[pdf["split"] == "train"]
+        tr = pdf[(pdf["split"] == "train") & pdf["_y"].notna()]
         out = pdf[pdf["split"] != "train"].copy()
         if len(tr) < 2 or len(out) == 0:
             return out.assign(predicted=np.nan).iloc[0:0]
@@ -66,10 +64,4 @@ def forecast_seasonal(panel: DataFrame, keys: Sequence[str] = (), y: str = "sale
         out["predicted"] = xo @ beta * sd + mu
         return out
 
-    grouped = rows.groupBy(*keys) if keys else rows.groupBy(F.lit(0).alias("_all"))
-    if keys:
-        res = grouped.applyInPandas(fit, schema)
-    else:
-        res = rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(
-            lambda pdf: fit(pdf.drop(columns=["_all"])), schema)
-    return prediction_frame(res.withColumnRenamed("_y", y), MODEL, keys, actual=y)
+    return prediction_frame(per_key(rows, keys, fit).withColumnRenamed("_y", y), MODEL, keys, actual=y)

@@ -15,7 +15,7 @@ from ..operators.forecast import evaluate as Ev
 from ..operators.forecast.arima import forecast_arima
 from ..operators.forecast.forest import forecast_forest
 from ..operators.forecast.lagwindow import forecast_lag_window
-from ..operators.forecast.panel import build_panel
+from ..operators.forecast.panel import build_panel, in_log_space
 from ..operators.forecast.seasonal import forecast_seasonal
 from ..operators.forecast.trend import forecast_trend
 from ..sources import SALES_LINES_SQL
@@ -165,11 +165,14 @@ def f5_lag_window_predictions(spark, sf_dir):
     return forecast_lag_window(_panel(spark, sf_dir), K)
 
 
-def fit_all(panel_df, keys=K):
-    """All five models on one cached panel (F10): their predictions, stacked (F8)."""
-    cached = panel_df.cache()
-    parts = [forecast_arima(cached, keys), forecast_trend(cached, keys), forecast_forest(cached, keys),
-             forecast_seasonal(cached, keys), forecast_lag_window(cached, keys)]
+#: The five models in the order in which the reference fits and lists them (``evaluate.MODEL_ORDER``).
+FORECASTERS = (forecast_arima, forecast_trend, forecast_forest, forecast_seasonal, forecast_lag_window)
+
+
+def fit_all(panel_df, keys=K, use_log=False):
+    """All five models on one panel (F10), which ``build_panel`` has written already: their predictions, stacked (F8).
+    ``use_log`` fits them to log1p of the target and maps the predictions back (C9, C10)."""
+    parts = [in_log_space(f, panel_df, keys) if use_log else f(panel_df, keys) for f in FORECASTERS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -193,3 +196,50 @@ def f14_model_radar(spark, sf_dir):
     return Ev.model_radar(Ev.metrics_wide(Ev.mae_rmse(fit_all(_panel(spark, sf_dir, ()), ()))))
 
 
+# -- all five models -------------------------------------------------------------
+@register("f8_predictions", "F8, F10")
+def f8_predictions(spark, sf_dir):
+    """The stacked predictions of all models, every country by itself."""
+    return fit_all(_panel(spark, sf_dir), K)
+
+
+def _five_models(spark, sf_dir):
+    """Scores of the five models on the scaled and on the unscaled series, side by side."""
+    def wide(panel_df):
+        return Ev.metrics_wide(Ev.mae_rmse(fit_all(panel_df, ())))
+    return Ev.scaled_vs_unscaled(wide(build_panel(_scaled_lines(spark, sf_dir), ())), wide(_panel(spark, sf_dir, ())))
+
+
+@register("f11_models_scaled_vs_unscaled", "F11, J2, F15")
+def f11_models_scaled_vs_unscaled(spark, sf_dir):
+    return _five_models(spark, sf_dir)
+
+
+@register("f12_models_improvement_pct", "F12")
+def f12_models_improvement_pct(spark, sf_dir):
+    return Ev.improvement_table(_five_models(spark, sf_dir),
+                                ("mae_validation", "rmse_validation", "mae_test", "rmse_test"))
+
+
+@register("f13_models_predicted_vs_actual", "F13")
+def f13_models_predicted_vs_actual(spark, sf_dir):
+    return Ev.predicted_vs_actual(fit_all(_panel(spark, sf_dir), K))
+
+
+# -- models of the logarithm (C9, C10) ---------------------------------------------
+_LOG_PANEL = """
+log_panel AS (SELECT country, day, split, t, CASE WHEN sales > -1 THEN ln(1 + sales) END AS sales FROM panel)"""
+
+
+@register("f1_trend_log_predictions", "F1, C9, C10", V.sql(trend_sql(p="log_panel") + """
+SELECT model, country, day, split, round(exp(actual) - 1, 2) AS actual, round(exp(predicted) - 1, 2) AS predicted
+FROM pred_log_panel""", SALES_LINES_SQL, V.panel_sql(K), _LOG_PANEL))
+def f1_trend_log_predictions(spark, sf_dir):
+    p = in_log_space(forecast_trend, _panel(spark, sf_dir), K)
+    return p.withColumns({c: F.round(c, 2) for c in ("actual", "predicted")})
+
+
+@register("f10_model_metrics_log", "F10, C9, C10, F7")
+def f10_model_metrics_log(spark, sf_dir):
+    """Scores of the five models when fitted to the logarithm, in sales units."""
+    return Ev.metrics_wide(Ev.mae_rmse(fit_all(_panel(spark, sf_dir), K, use_log=True)))

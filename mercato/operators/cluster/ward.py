@@ -3,7 +3,8 @@
 Rows are first summarised into at most ``micro_clusters`` weighted
 micro-clusters by Spark K-Means (each carries its size and centroid); Ward
 merges then run on those summaries, whose number is a parameter and does not
-grow with the data. The path is the same at every size. The merge cost of clusters i, j is
+grow with the data. The path is the same at every size; a few thousand
+micro-clusters take seconds and some megabytes on the driver. The merge cost of clusters i, j is
 n_i n_j / (n_i + n_j) · ‖c_i − c_j‖²; the height reported is √(2 · cost),
 which equals the Euclidean distance for two single points.
 """
@@ -34,27 +35,40 @@ def _summaries(df: DataFrame, feats: Sequence[str], key: str, micro_clusters: in
 
 def ward_merges(sizes: np.ndarray, cents: np.ndarray):
     """Ward linkage on weighted items: list of (left, right, height, size)
-    in merge order, new clusters numbered from len(items) upward."""
+    in merge order, new clusters numbered from len(items) upward.
+
+    Nearest-neighbour chain: follow nearest neighbours until two clusters are
+    each other's nearest, merge these, and go on from what is left of the
+    chain. Ward's cost never falls by a merge, so such pairs are merges of the
+    greedy order too, and sorting them by height gives that order. A step costs
+    one row of costs; the memory is that of 2 m centroids, never m x m."""
     m = len(sizes)
-    active = {i: (sizes[i], cents[i].copy()) for i in range(m)}
-    merges = []
-    nxt = m
-    while len(active) > 1:
-        keys = list(active)
-        n = np.array([active[k][0] for k in keys])
-        c = np.array([active[k][1] for k in keys])
-        d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-        cost = (n[:, None] * n[None, :]) / (n[:, None] + n[None, :]) * d2
-        np.fill_diagonal(cost, np.inf)
-        i, j = np.unravel_index(np.argmin(cost), cost.shape)
-        a, b = keys[min(i, j)], keys[max(i, j)]
-        na, ca = active.pop(a)
-        nb, cb = active.pop(b)
-        nn = na + nb
-        active[nxt] = (nn, (na * ca + nb * cb) / nn)
-        merges.append((a, b, float(np.sqrt(2 * cost[i, j])), int(nn)))
-        nxt += 1
-    return merges
+    n = np.concatenate([np.asarray(sizes, dtype=float), np.zeros(max(m - 1, 0))])
+    c = np.vstack([np.asarray(cents, dtype=float), np.zeros((max(m - 1, 0), np.shape(cents)[1]))])
+    alive = np.arange(m)  # ids of the clusters, in ascending order
+    chain, found = [], []
+    for new in range(m, 2 * m - 1):
+        while True:
+            if not chain:
+                chain.append(int(alive[0]))
+            top = chain[-1]
+            cost = n[top] * n[alive] / (n[top] + n[alive]) * ((c[alive] - c[top]) ** 2).sum(axis=1)
+            cost[np.searchsorted(alive, top)] = np.inf
+            at = int(np.argmin(cost))
+            if len(chain) > 1:  # a tie goes back to where the chain came from, so that it ends
+                back = int(np.searchsorted(alive, chain[-2]))
+                if cost[back] <= cost[at]:
+                    break
+            chain.append(int(alive[at]))
+        a, b = sorted((chain.pop(), chain.pop()))
+        n[new] = n[a] + n[b]
+        c[new] = (n[a] * c[a] + n[b] * c[b]) / n[new]
+        found.append((a, b, float(np.sqrt(2 * cost[back])), new))
+        alive = np.append(alive[(alive != a) & (alive != b)], new)
+    # a cluster is younger than its parts, so equal heights keep parts first
+    found.sort(key=lambda f: (f[2], f[3]))
+    number = {f[3]: m + i for i, f in enumerate(found)}
+    return [(*sorted((number.get(a, a), number.get(b, b))), h, int(n[new])) for a, b, h, new in found]
 
 
 def cut_tree(m: int, merges, k: int) -> np.ndarray:

@@ -38,33 +38,53 @@ def h1_histogram_by_country(spark, sf_dir):
     return D.histogram(_lines(spark, sf_dir), "unit_price", 50, by=["country"]).select("country", "bin", "count")
 
 
-KDE_SQL = """
-, v AS (SELECT quantity AS x FROM sales_lines),
-r AS (SELECT min(x) AS lo, max(x) AS hi, count(*) AS n, stddev_samp(x) AS sd FROM v),
-b AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / 1024)), 1023) AS INTEGER) AS bb, count(*) AS c FROM v, r GROUP BY 1),
-g AS (SELECT unnest(range(0, 100)) AS point),
-k AS (SELECT point, lo + point * (hi - lo) / 99 AS x,
-             sum(c * exp(-0.5 * power(((lo + point * (hi - lo) / 99) - (lo + (bb + 0.5) * (hi - lo) / 1024))
-                                      / (sd * power(n, -0.2)), 2))
-                 / (n * sd * power(n, -0.2) * sqrt(2 * pi()))) AS density
-      FROM b, g, r GROUP BY point, lo, hi)"""
-
-
-@register("h2_kde", "H2", V.sql(KDE_SQL + """
-SELECT CAST(point AS INTEGER) AS point, round(x, 9) AS x, round(density, 12) AS density FROM k""", SALES_LINES_SQL))
+def _kde_sql(cut, by="", value="quantity"):
+    """The density as the plain sum over all rows (equal values counted once), without bins."""
+    k, g = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    join = f"JOIN r USING ({by})" if by else ", r"
+    return f"""
+, v AS (SELECT {k}CAST({value} AS DOUBLE) AS x FROM sales_lines),
+r AS (SELECT {k}min(x) AS lo, max(x) AS hi, count(*) AS n, stddev_samp(x) * power(count(*), -0.2) AS h FROM v {g}),
+b AS (SELECT {k}x AS vx, count(*) AS c FROM v GROUP BY {k}x),
+g AS (SELECT {k}unnest(range(0, 100)) AS point, lo - {cut} * h AS a, (hi - lo + 2 * {cut} * h) / 99 AS step FROM r WHERE h > 0),
+k AS (SELECT {k}point, a + point * step AS x,
+             sum(c * exp(-0.5 * power((a + point * step - vx) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())) AS density
+      FROM b {join} {f"JOIN g USING ({by})" if by else ", g"} GROUP BY {k}point, a, step)"""
+
+
+KDE_OUT = "CAST(point AS INTEGER) AS point, round(x, 9) AS x, round(density, 12) AS density"
+
+
+def _kde_round(k, *more):
+    return k.select(*more, "point", F.round("x", 9).alias("x"), F.round("density", 12).alias("density"))
+
+
+@register("h2_kde", "H2", V.sql(_kde_sql(3) + f"""
+SELECT {KDE_OUT} FROM k""", SALES_LINES_SQL))
 def h2_kde(spark, sf_dir):
-    k = D.kde(_lines(spark, sf_dir), "quantity", 100)
-    return k.select("point", F.round("x", 9).alias("x"), F.round("density", 12).alias("density"))
+    return _kde_round(D.kde(_lines(spark, sf_dir), "quantity", 100))
 
 
-@register("h4_violin", "H4", V.sql(KDE_SQL + """,
+@register("h2_kde_by_country", "H2", V.sql(_kde_sql(3, "country", "unit_price") + f"""
+SELECT country, {KDE_OUT} FROM k""", SALES_LINES_SQL))
+def h2_kde_by_country(spark, sf_dir):
+    return _kde_round(D.kde(_lines(spark, sf_dir), "unit_price", 100, ["country"]), "country")
+
+
+@register("h4_violin", "H4", V.sql(_kde_sql(2) + f""",
 q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM v)
-SELECT CAST(point AS INTEGER) AS point, round(x, 9) AS x, round(density, 12) AS density, q1, median, q3
-FROM k, q""", SALES_LINES_SQL))
+SELECT {KDE_OUT}, q1, median, q3 FROM k, q""", SALES_LINES_SQL))
 def h4_violin(spark, sf_dir):
-    k = D.violin_stats(_lines(spark, sf_dir), "quantity", grid=100)
-    return k.select("point", F.round("x", 9).alias("x"), F.round("density", 12).alias("density"),
-                    "q1", "median", "q3")
+    return _kde_round(D.violin_stats(_lines(spark, sf_dir), "quantity", grid=100), "q1", "median", "q3")
+
+
+@register("h4_violin_by_country", "H4", V.sql(_kde_sql(2, "country") + f""",
+q AS (SELECT country, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3
+      FROM v GROUP BY country)
+SELECT country, {KDE_OUT}, q1, median, q3 FROM k JOIN q USING (country)""", SALES_LINES_SQL))
+def h4_violin_by_country(spark, sf_dir):
+    return _kde_round(D.violin_stats(_lines(spark, sf_dir), "quantity", ["country"], 100),
+                      "country", "q1", "median", "q3")
 
 
 BOX_SQL = """

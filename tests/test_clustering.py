@@ -219,3 +219,46 @@ def test_dispersion_of_a_hundred_thousand_labels_sends_none_to_the_rows(spark):
     assert plan.count("BroadcastExchange") <= 1  # the one row of overall means
     between = 2 * sum((i - 49_999.5) ** 2 for i in range(100_000))
     assert Me.calinski_harabasz(df, FEATS).first()[0] == pytest.approx(between * 100_000 / (200_000 * 99_999))
+
+
+def _greedy_ward(sizes, cents):
+    """Merge the cheapest of all pairs, again and again."""
+    act = {i: (float(n), np.array(c, dtype=float)) for i, (n, c) in enumerate(zip(sizes, cents))}
+    out = []
+    while len(act) > 1:
+        ids = sorted(act)
+        cost, a, b = min((act[i][0] * act[j][0] / (act[i][0] + act[j][0]) * ((act[i][1] - act[j][1]) ** 2).sum(), i, j)
+                         for x, i in enumerate(ids) for j in ids[x + 1:])
+        (na, ca), (nb, cb) = act.pop(a), act.pop(b)
+        act[len(sizes) + len(out)] = (na + nb, (na * ca + nb * cb) / (na + nb))
+        out.append((a, b, np.sqrt(2 * cost), int(na + nb)))
+    return out
+
+
+def test_ward_chain_gives_the_merges_of_the_greedy_order():
+    from mercato.operators.cluster.ward import ward_merges
+    for seed in range(5):
+        rng = np.random.default_rng(seed)
+        sizes, cents = rng.integers(1, 50, 70), rng.normal(size=(70, 3))
+        got, want = ward_merges(sizes, cents), _greedy_ward(sizes, cents)
+        assert [(g[0], g[1], g[3]) for g in got] == [(w[0], w[1], w[3]) for w in want]
+        assert np.allclose([g[2] for g in got], [w[2] for w in want])
+
+
+def test_ward_chain_with_ties_few_items_and_thousands():
+    import time
+    from mercato.operators.cluster.ward import cut_tree, ward_merges
+    assert ward_merges(np.array([3]), np.array([[1.0, 2.0]])) == []
+    assert ward_merges(np.array([1, 2]), np.array([[0.0], [0.0]])) == [(0, 1, 0.0, 3)]
+    grid = np.array([[i, j] for i in range(6) for j in range(6)], dtype=float)  # many equal costs, copies
+    merges = ward_merges(np.ones(72), np.vstack([grid, grid]))
+    heights = [x[2] for x in merges]
+    assert len(merges) == 71 and heights == sorted(heights) and heights[35] == 0.0 < heights[36]
+    assert merges[-1][3] == 72 and len(set(cut_tree(72, merges, 4))) == 4
+    rng = np.random.default_rng(0)
+    centres = rng.normal(0, 100, size=(4, 5))
+    t0 = time.time()
+    merges = ward_merges(np.ones(5000), np.repeat(centres, 1250, axis=0) + rng.normal(size=(5000, 5)))
+    assert time.time() - t0 < 60
+    labels = cut_tree(5000, merges, 4).reshape(4, 1250)
+    assert (labels == labels[:, :1]).all() and len(set(labels[:, 0])) == 4

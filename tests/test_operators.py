@@ -97,6 +97,25 @@ def test_kde_integrates_to_one(spark):
     assert 0.95 < area < 1.01
 
 
+def test_kde_equals_the_sum_over_all_rows(spark):
+    """Groups of very different range and bandwidth, far outliers, missing values; a group without spread has none."""
+    rng = np.random.default_rng(7)
+    groups = {"wide": np.concatenate([rng.normal(0, 1, 900), [4000.0, -250.0]]), "two": np.array([1.0, 2.0]),
+              "steps": rng.integers(0, 9, 500).astype(float), "flat": np.full(20, 3.0), "one": np.array([5.0])}
+    rows = [(g, float(v)) for g, x in groups.items() for v in x] + [("steps", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for cut in (0.0, 3.0):
+        got = D.kde(df, "x", 50, ["g"], cut).toPandas()
+        assert set(got["g"]) == {"wide", "two", "steps"}
+        for g, k in got.groupby("g"):
+            k, v = k.sort_values("point"), groups[g]
+            h = v.std(ddof=1) * len(v) ** -0.2
+            x = np.linspace(v.min() - cut * h, v.max() + cut * h, 50)
+            want = np.exp(-0.5 * ((x[:, None] - v[None, :]) / h) ** 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+            assert np.allclose(k["x"], x) and np.abs(k["density"] - want).max() * h < 1e-13
+    assert D.kde(df.where("x > 1e9"), "x").count() == 0
+
+
 def test_ecdf_conventions(spark):
     df = spark.createDataFrame([(3.0,), (1.0,), (2.0,), (2.0,)], "x double")
     zero = sorted((r["value"], r["ecdf"]) for r in D.ecdf(df, "x", 0).collect())

@@ -55,7 +55,12 @@ HTML_PARTS = frozenset("foreignobject desc annotation-xml".split())
 NEEDS_END = frozenset("noscript iframe object template".split())
 CLOSES_P = BLOCK_TAGS - {"br", "button", "label", "option", "legend"}
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: Deeper elements become the next ones of their parent, as in browsers; this bounds the paths of a page, not its text.
+MAX_DEPTH = 512
+
+_START = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)|<[!?]")
+_QUOTE_OR_END = re.compile("[>\"']")
+_RAW_ENDS = {t: re.compile(f"</{t}", re.I) for t in RAW_TAGS}
 _ENDS = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I) for t in NEEDS_END}
 _DIGIT = re.compile(r"[0-9]")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -77,6 +82,32 @@ def _ends_silent(name: str, inner: set[str], tag: str) -> bool:
     return name in ("svg", "math") and tag in BLOCK_TAGS and not inner & HTML_PARTS
 
 
+class _TagEnds:
+    """Where the tags of a page end, in time linear in the page.
+
+    A tag ends at the first > outside quotes. Where a quote is left open, it ends at the next >; the places between
+    quotes from which a scan has found no end are kept, so that no later tag goes the same way again."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.open_ended = page, set()
+
+    def end(self, at: int) -> int:
+        """The index behind the tag whose name ends at ``at``, or -1 if no > follows."""
+        page, seen, place = self.page, [], at
+        while place not in self.open_ended:
+            seen.append(place)
+            m = _QUOTE_OR_END.search(page, place)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.end()
+            place = page.find(m[0], m.end()) + 1
+            if not place:
+                break
+        self.open_ended.update(seen)
+        return page.find(">", at) + 1 or -1
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks in page order: white space collapsed, character references decoded, empty ones left out."""
     page = page or ""
@@ -120,16 +151,27 @@ def blocks_of(page: str | None) -> list[Block]:
                 path = tuple(x for _, x in stack)
             parts.append((text, links > 0))
 
+    tag_ends, more = _TagEnds(page), True
     while at < len(page):
-        m = _TAG.search(page, at)
+        m = _START.search(page, at)
         if m is None:
             add(page[at:])
             break
         add(page[at:m.start()])
-        at = m.end()
+        if m[0] == "<!--":
+            at = page.find("-->", m.end()) + 3
+            if at == 2:
+                break
+            continue
+        at = (tag_ends.end(m.end()) if m[2] else page.find(">", m.end()) + 1 or -1) if more else -1
+        if at < 0:  # no tag ends from here on: text
+            more = False
+            add(m[0])
+            at = m.end()
+            continue
         if m[2] is None:
             continue
-        tag = m[2].lower()
+        tag, attrs = m[2].lower(), page[m.end():at - 1]
         if parts and tag in BLOCK_TAGS:
             end_block()
         if m[1]:
@@ -151,15 +193,19 @@ def blocks_of(page: str | None) -> list[Block]:
                     break
                 if stack[i][0] in BLOCK_TAGS:
                     break
-        if tag in VOID_TAGS or m[3].endswith("/"):
+        if tag in VOID_TAGS or attrs.endswith("/"):
             continue
         if tag in RAW_TAGS:
-            close = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            close = _RAW_ENDS[tag].search(page, at)
+            at = page.find(">", close.end()) + 1 if close else 0
+            if not at:
+                break
             continue
         if tag in NEEDS_END and not is_closed(tag):
             continue
-        names = m[3] and " ".join(next(filter(None, x[1:]), "") for x in _ATTR.findall(m[3])).lower()
+        names = attrs and " ".join(next(filter(None, x[1:]), "") for x in _ATTR.findall(attrs)).lower()
+        if len(stack) >= MAX_DEPTH:
+            pop(MAX_DEPTH - 1)
         stack.append((tag, f"{tag} {names}" if names else tag))
         silent += tag in SILENT_TAGS
         links += tag == "a"

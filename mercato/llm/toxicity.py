@@ -1,8 +1,8 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick.
 
 Texts are folded first: compatibility forms and look-alike letters of other scripts become Latin letters, digits and
-signs inside words become the letters they stand for, invisible characters go, and all other characters become
-spaces. The lexicon holds word beginnings; each has the log ratio of its document shares in toxic and other labelled
+signs beside letters become the letters they stand for, invisible characters go, and all other characters, numbers
+among them, become spaces. The lexicon holds word beginnings; each has the log ratio of its document shares in toxic and other labelled
 texts. Exception phrases (given, or learnt: words and word pairs with a lexicon entry that clean texts have as well)
 cancel the matches they cover. The summed weights, plain and per hundred words, go through a logistic curve.
 
@@ -19,8 +19,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -42,11 +44,22 @@ MIN_RATIO = 20.0
 EXCEPTION_RATIO, EXCEPTION_TEXTS = 3.0, 3
 EXCEPTIONS: tuple[str, ...] = ()
 
-# Look-alike letters of Cyrillic and Greek, and digits or signs written for letters.
-HOMOGLYPHS = dict(zip("авсԁеһіјкӏмнорԛѕтуѵԝхαβεηικνορτυχ", "abcdehijklmhopqstuvwxabenikvoptux", strict=True))
+# Letters that look like a Latin letter (Cyrillic, Greek, Armenian, phonetic and small capital letters,
+# letters with a stroke), and digits or signs written for letters.
+LOOK_ALIKES = {
+    "a": "аαɑᴀ", "b": "вβʙ", "c": "сϲᴄ", "d": "ԁᴅđ", "e": "еёεᴇ", "g": "ɡɢց", "h": "һнհʜħ", "i": "іїιɩıɪ", "j": "јϳᴊ",
+    "k": "кκᴋ", "l": "ӏʟł", "m": "мᴍ", "n": "ηոɴ", "o": "оοօøᴏ", "p": "рρᴘ", "q": "ԛզ", "r": "ʀ", "s": "ѕꜱ", "t": "тτᴛŧ",
+    "u": "υսᴜ", "v": "ѵνᴠ", "w": "ԝωᴡ", "x": "хχ", "y": "уүγʏ", "z": "ᴢ"}
+HOMOGLYPHS = {like: letter for letter, likes in LOOK_ALIKES.items() for like in likes}
 DIGITS = dict(zip("013457@", "oieasta", strict=True))
-_SIGN = re.compile(r"(?<=\w)[$!|](?=\w)")
 _SIGNS = {"$": "s", "!": "i", "|": "l"}
+_LETTER = r"[^\W\d_]"
+#: Signs that stand for letters: one ! or | beside a letter inside a word; any run of $ before a letter or behind one,
+#: unless a number follows (a price), or behind an @ at the end of a word.
+_SIGN = re.compile(rf"(?<={_LETTER})[!|](?=\w)|(?<=\w)[!|](?={_LETTER})"
+                   rf"|(?<!\$)\$++(?={_LETTER})|(?<={_LETTER})\$++(?!\d)|(?<=@)\$++(?!\w)")
+#: Numbers: digits (or @) with no letter on either side.
+_NUMBER = re.compile(r"(?<![^\W_])(?<!@)[\d@]++(?![^\W_])")
 
 
 class _Folding(dict):
@@ -72,7 +85,8 @@ def fold(text: str | None) -> str:
     """The folded text with one space at both ends."""
     text = unicodedata.normalize("NFC", text or "")
     if "$" in text or "!" in text or "|" in text:
-        text = _SIGN.sub(lambda m: _SIGNS[m[0]], text)
+        text = _SIGN.sub(lambda m: "".join(_SIGNS[c] for c in m[0]), text)
+    text = _NUMBER.sub(" ", text)
     return f" {text.translate(_FOLD)} "
 
 
@@ -119,7 +133,11 @@ class Lexicon:
             else:
                 hits.append((end - size, end, weight))
         if holes:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in holes)]
+            # of the exceptions that begin no later than a match, the one that reaches furthest covers it or none does
+            holes.sort()
+            starts = [a for a, _ in holes]
+            reach = list(accumulate((b for _, b in holes), max))
+            hits = [h for h in hits if not (i := bisect_right(starts, h[0])) or reach[i - 1] < h[1]]
         return sum(w for _, _, w in hits)
 
     def signals(self, text: str | None) -> tuple[float, float]:

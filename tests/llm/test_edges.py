@@ -1,5 +1,8 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator."""
 
+import re
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -419,3 +422,52 @@ def test_near_copy_stage_keeps_other_texts_of_an_id_and_one_of_a_repeated_row(sp
     assert out.columns == docs.columns
     got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
     assert got == sorted([(1, one), (2, other), (3, None), (3, None), (None, rows[7][1])], key=str)
+
+
+def test_toxicity_folds_signs_numbers_and_look_alikes():
+    for text, want in [("a$$", "ass"), ("$hit", "shit"), ("@$$", "ass"), ("a$$hole", "asshole"), ("sh!t", "shit"),
+                       ("у", "y"), ("2024", ""), ("100", ""), ("I paid $5", "i paid"), ("US$100", "us"),
+                       ("wow!!! yes!", "wow yes"), ("7|8", ""), ("tr4sh", "trash"), ("７７", ""), ("x @ y", "x y"),
+                       ("ѕhіт ᴀѕѕ", "shit ass")]:
+        assert " ".join(toxicity.fold(text).split()) == want, text
+    for unit in ("$", "1", "1a", "a$", "@$", "!a"):
+        t0 = time.perf_counter()
+        toxicity.fold(unit * 200_000)
+        assert time.perf_counter() - t0 < 10, unit
+
+
+def test_toxicity_exceptions_cover_matches_like_the_plain_comparison():
+    rng = np.random.default_rng(5)
+    words = ["trash", "can", "trashy", "bin", "white", "lid"]
+    exceptions = ["trash can", "white trash can lid", "trash", "bin trash"]
+    for chosen in (exceptions[:1], exceptions[:2], exceptions[1:], exceptions):
+        lexicon = toxicity.Lexicon({"tra": 2.0, "bin": 0.5}, chosen, np.zeros(3))
+        for _ in range(60):
+            text = toxicity.fold(" ".join(rng.choice(words, 12)))
+            holes = [(m.start(), m.start() + len(e) + 1) for e in chosen for m in re.finditer(f"(?= {e} )", text)]
+            want = sum(w for t, w in lexicon.weights.items() for m in re.finditer(f" {t}", text)
+                       if not any(a <= m.start() and m.end() - 1 <= b for a, b in holes))
+            assert lexicon.total(text) == want
+    lexicon = toxicity.Lexicon({"tra": 1.0}, ["trash can"], np.zeros(3))
+    t0 = time.perf_counter()
+    assert lexicon.total(toxicity.fold("trash can trash " * 50_000)) == 50_000
+    assert time.perf_counter() - t0 < 20
+
+
+def test_html_broken_markup_takes_linear_time():
+    for unit in ('<a "', "<a '\" ", "<!", "<script></script", "<div>x", "</p", "<p class='x'>\"'", "</b>", "<i>"):
+        t0 = time.perf_counter()
+        html_text.blocks_of(unit * (200_000 // len(unit)))
+        assert time.perf_counter() - t0 < 30, unit
+
+
+def test_html_broken_tags_keep_their_text():
+    def texts(page):
+        return [b.text for b in html_text.blocks_of(page)]
+    assert texts('<p class="a>one</p><p>two</p>') == ["one", "two"]  # no closing quote: ends at the next >
+    assert texts('<p class="a>b">one</p>') == ["one"] and texts("<p title='\"'>one</p>") == ["one"]
+    assert texts("a <b and 3 < 4") == ["a <b and 3 < 4"] and texts("x <! y") == ["x <! y"]
+    assert texts("<p>one<!-- never closed <p>two") == ["one"] and texts("<p>a<script>b</script") == ["a"]
+    deep = html_text.blocks_of("<div>" * 2_000 + "low" + "</div>" * 2_000 + "<p>next</p>")
+    assert [b.text for b in deep] == ["low", "next"]
+    assert max(len(b.path) for b in deep) == html_text.MAX_DEPTH

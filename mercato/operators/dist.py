@@ -125,6 +125,16 @@ def kde(df: DataFrame, col: str, grid: int = 100, by: Sequence[str] = (), cut: f
         (F.col("_k") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
 
 
+def hue_densities(df: DataFrame, feats: Sequence[str], hue: str, grid: int = 100, cut: float = 3.0) -> DataFrame:
+    """Density of every feature in every group of ``hue``, each on its own
+    range: the diagonal of a pair plot (H6). The features are unpivoted, so
+    all curves come from one pass. Returns ``(feature, hue, point, x,
+    density)``."""
+    long = df.select(hue, *[F.col(f).cast("double").alias(f) for f in feats]) \
+        .unpivot([hue], list(feats), "feature", "_value")
+    return kde(long, "_value", grid, ["feature", hue], cut)
+
+
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
     """Quartiles, 1.5 IQR fences, whisker ends and outlier count (H3).
     Returns ``(by…, n, q1, median, q3, iqr, lower_fence, upper_fence,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import dist as D
 from ..operators.sample import sample_cap, stratified_sample
@@ -38,12 +39,12 @@ def h1_histogram_by_country(spark, sf_dir):
     return D.histogram(_lines(spark, sf_dir), "unit_price", 50, by=["country"]).select("country", "bin", "count")
 
 
-def _kde_sql(cut, by="", value="quantity"):
+def _kde_sql(cut, by="", value="quantity", src="sales_lines"):
     """The density as the plain sum over all rows (equal values counted once), without bins."""
     k, g = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
     join = f"JOIN r USING ({by})" if by else ", r"
     return f"""
-, v AS (SELECT {k}CAST({value} AS DOUBLE) AS x FROM sales_lines),
+, v AS (SELECT {k}CAST({value} AS DOUBLE) AS x FROM {src}),
 r AS (SELECT {k}min(x) AS lo, max(x) AS hi, count(*) AS n, stddev_samp(x) * power(count(*), -0.2) AS h FROM v {g}),
 b AS (SELECT {k}x AS vx, count(*) AS c FROM v GROUP BY {k}x),
 g AS (SELECT {k}unnest(range(0, 100)) AS point, lo - {cut} * h AS a, (hi - lo + 2 * {cut} * h) / 99 AS step FROM r WHERE h > 0),
@@ -197,3 +198,56 @@ def h1_customer_histogram_by_cluster(spark, sf_dir):
     lab = labelled(spark, sf_dir).select("customer_id", "cluster")
     raw = V.customers(spark, sf_dir).join(lab, "customer_id")
     return D.colour_histogram(raw, "total_spent", "cluster", 30).select("colour", "bin", "count")
+
+
+# -- customers: sales histogram with its curve, pair-plot densities, boxes per cluster ---------
+_CUSTOMER_SALES = """
+, customer_sales AS (SELECT customer_id, CAST(sum(sales) AS DOUBLE) AS sales FROM sales_lines
+                     WHERE customer_id IS NOT NULL GROUP BY 1)"""
+
+
+def _customer_sales(spark, sf_dir):
+    return A.sales_per_customer(V.lines(spark, sf_dir))
+
+
+@register("a6_customer_histogram", "A6, H1", V.sql(_CUSTOMER_SALES + """,
+r AS (SELECT min(sales) AS lo, max(sales) AS hi FROM customer_sales),
+b AS (SELECT CAST(least(floor((sales - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin FROM customer_sales, r)
+SELECT bin, round(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 30, 4) AS lo,
+       round(any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / 30, 4) AS hi, count(*) AS count
+FROM b, r GROUP BY bin""", SALES_LINES_SQL))
+def a6_customer_histogram(spark, sf_dir):
+    h = D.histogram(_customer_sales(spark, sf_dir), "sales", 30)
+    return h.select("bin", F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"), "count")
+
+
+@register("a6_customer_density", "A6, H2", V.sql(_CUSTOMER_SALES + _kde_sql(0, "", "sales", "customer_sales") + """
+SELECT CAST(point AS INTEGER) AS point, round(x, 4) AS x, round(density, 14) AS density FROM k""", SALES_LINES_SQL))
+def a6_customer_density(spark, sf_dir):
+    """The curve drawn over the histogram: it ends where the values end."""
+    k = D.kde(_customer_sales(spark, sf_dir), "sales", 100, cut=0)
+    return k.select("point", F.round("x", 4).alias("x"), F.round("density", 14).alias("density"))
+
+
+@register("h6_pair_densities", "H6, H2", V.sql(f"""
+, s AS (SELECT cluster, {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in V.FEATURES)} FROM labelled),
+u AS (FROM (UNPIVOT s ON {", ".join(V.FEATURES)} INTO NAME feature VALUE value))"""
+    + _kde_sql(3, "feature, cluster", "value", "u") + """
+SELECT feature, cluster, CAST(point AS INTEGER) AS point, round(x, 6) AS x, round(density, 9) AS density
+FROM k""", *LABELLED_SQL))
+def h6_pair_densities(spark, sf_dir):
+    k = D.hue_densities(labelled(spark, sf_dir), list(V.FEATURES), "cluster")
+    return k.select("feature", "cluster", "point", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
+
+
+@register("h3_box_by_cluster", "H3", V.sql("""
+, q AS (SELECT cluster, count(*) AS n, quantile_cont(total_spent, 0.25) AS q1, quantile_cont(total_spent, 0.5) AS median,
+               quantile_cont(total_spent, 0.75) AS q3 FROM labelled GROUP BY 1)
+SELECT l.cluster, any_value(n) AS n, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
+       round(any_value(q3), 6) AS q3,
+       CAST(count(*) FILTER (WHERE total_spent < q1 - 1.5 * (q3 - q1) OR total_spent > q3 + 1.5 * (q3 - q1)) AS BIGINT)
+         AS n_outliers
+FROM labelled l JOIN q USING (cluster) GROUP BY l.cluster""", *LABELLED_SQL))
+def h3_box_by_cluster(spark, sf_dir):
+    b = D.box_stats(labelled(spark, sf_dir), "total_spent", by=["cluster"])
+    return b.select("cluster", "n", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "n_outliers")

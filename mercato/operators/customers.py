@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..session import checkpoint_dir
 
 FEATURES = ("avg_ticket", "n_lines", "total_spent", "recency_days", "n_products")
 
@@ -24,9 +25,11 @@ def customer_features(df: DataFrame, key: str = "customer_id", ts: str = "invoic
     lines is still spread over many tasks in the first stage and arrives
     pre-combined in the second. Recency is measured against the latest line
     of the whole table, which equals the latest of the per-customer maxima:
-    that one-row frame is taken from the aggregated result (Spark reuses the
-    exchange) and broadcast.
+    that one-row frame is taken from the aggregated rows and broadcast. They
+    are written once (reliable checkpoint); without it column pruning makes
+    the two plans differ, no exchange is reused and the lines are joined twice.
     """
+    checkpoint_dir(df.sparkSession)
     prod = product_column(df)
     lines = df.where(F.col(key).isNotNull())
     per = lines.groupBy(key).agg(
@@ -34,7 +37,7 @@ def customer_features(df: DataFrame, key: str = "customer_id", ts: str = "invoic
         F.sum(amount).alias("_total"),
         F.max(ts).alias("_last"),
         F.countDistinct(prod).alias("n_products"),
-    )
+    ).checkpoint(eager=True)
     ref = per.agg(F.max("_last").alias("_ref"))
     out = per.crossJoin(F.broadcast(ref))
     total = F.col("_total").cast("double")

@@ -102,14 +102,12 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scaled_customers(spark: SparkSession, sf_dir: str, method: str = "standard", materialise: bool = False) -> DataFrame:
-    """Customers with standardised features. The customers are written once
-    (reliable checkpoint), so that fitting the scaler and applying it read one
-    row per customer, not the lines again; ``materialise`` also writes the
+    """Customers with standardised features. ``customer_features`` writes its
+    aggregated rows once, so fitting the scaler and applying it read one row
+    per customer, not the lines again; ``materialise`` also writes the
     result, for iterative consumers such as the clusterers."""
     from ..operators.scale import scale
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
-    out = scale(customers(spark, sf_dir).checkpoint(eager=True), list(FEATURES), method)
+    out = scale(customers(spark, sf_dir), list(FEATURES), method)
     return out.checkpoint(eager=True) if materialise else out
 
 

@@ -32,31 +32,37 @@ def label_table(df: DataFrame, feats: Sequence[str], label: str = "cluster") ->
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *stats).checkpoint(eager=True)
 
 
-def centroids(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+def _table(df: DataFrame, feats: Sequence[str], label: str, table: DataFrame | None) -> DataFrame:
+    """The ``label_table`` of the rows: the one passed in, so that several metrics share it, or a new one."""
+    return label_table(df, feats, label) if table is None else table
+
+
+def centroids(df: DataFrame, feats: Sequence[str], label: str = "cluster", table: DataFrame | None = None) -> DataFrame:
     """One row per cluster: size and mean of every feature."""
-    return label_table(df, feats, label).select(label, "_n", *[f"_c_{f}" for f in feats])
+    return _table(df, feats, label, table).select(label, "_n", *[f"_c_{f}" for f in feats])
 
 
-def with_centroid_distance(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+def with_centroid_distance(df: DataFrame, feats: Sequence[str], label: str = "cluster",
+                           table: DataFrame | None = None) -> DataFrame:
     """Rows plus ``_sq`` = squared distance to their own cluster centroid. The
     centroids are broadcast only if they are few, and joined by shuffle otherwise."""
     from ..joins import broadcast_if_small
-    return df.join(broadcast_if_small(centroids(df, feats, label), 200_000), on=label).withColumn("_sq", _sq_dist(feats))
+    return df.join(broadcast_if_small(centroids(df, feats, label, table), 200_000), on=label).withColumn("_sq", _sq_dist(feats))
 
 
 def _within(feats: Sequence[str]):
     return F.sum(F.col("_n") * sum((F.col(f"_v_{f}") for f in feats), F.lit(0.0)))
 
 
-def inertia(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+def inertia(df: DataFrame, feats: Sequence[str], label: str = "cluster", table: DataFrame | None = None) -> DataFrame:
     """Sum of squared distances to the cluster centroids (G9): sizes times variances."""
-    return label_table(df, feats, label).where(F.col(label).isNotNull()).agg(_within(feats).alias("inertia"))
+    return _table(df, feats, label, table).where(F.col(label).isNotNull()).agg(_within(feats).alias("inertia"))
 
 
-def calinski_harabasz(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+def calinski_harabasz(df: DataFrame, feats: Sequence[str], label: str = "cluster", table: DataFrame | None = None) -> DataFrame:
     """Between/within dispersion ratio (G7); NULL with fewer than two labels
     (G11), 1.0 when the within dispersion is 0. One pass over the rows."""
-    table = label_table(df, feats, label).where(F.col(label).isNotNull())
+    table = _table(df, feats, label, table).where(F.col(label).isNotNull())
     means = [(F.sum(F.col("_n") * F.col(f"_c_{f}")) / F.sum("_n")).alias(f"_m_{f}") for f in feats]
     gap = sum(((F.col(f"_c_{f}") - F.col(f"_m_{f}")) ** 2 for f in feats), F.lit(0.0))
     out = table.crossJoin(F.broadcast(table.agg(*means))).agg(
@@ -68,11 +74,11 @@ def calinski_harabasz(df: DataFrame, feats: Sequence[str], label: str = "cluster
     return out.select(score.alias("calinski_harabasz"))
 
 
-def davies_bouldin(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
+def davies_bouldin(df: DataFrame, feats: Sequence[str], label: str = "cluster", table: DataFrame | None = None) -> DataFrame:
     """Mean over clusters of the worst (s_i + s_j) / d(c_i, c_j) (G8); NULL
     with fewer than two labels, 0 when all spreads or all centroid gaps are 0.
     The pair table has k² rows (k clusters), never row pairs."""
-    spread = with_centroid_distance(df, feats, label).groupBy(label).agg(
+    spread = with_centroid_distance(df, feats, label, table).groupBy(label).agg(
         F.avg(F.sqrt("_sq")).alias("_s"), *[F.first(f"_c_{f}").alias(f"_c_{f}") for f in feats])
     a = spread.select(*[F.col(c).alias(f"a{c}") for c in spread.columns])
     b = spread.select(*[F.col(c).alias(f"b{c}") for c in spread.columns])

@@ -23,8 +23,9 @@ def cluster_stats(df: DataFrame, feats: Sequence[str], label: str = "cluster") -
         .select(label, "feature", "n", "mean", "median", "std")
 
 
-def rank_labels(df: DataFrame, k: int, order: Sequence[str], label: str = "cluster") -> DataFrame:
+def rank_labels(df: DataFrame, k: int, order: Sequence[str], label: str = "cluster", stable: bool = True) -> DataFrame:
     """Deterministic labelling into k equal-count groups by ``order``:
-    ``floor(position * k / n)``, positions computed without a global window."""
-    pos = row_positions(df, order, stable=True)
+    ``floor(position * k / n)``, positions computed without a global window.
+    ``stable=False`` is for rows that are already written."""
+    pos = row_positions(df, order, stable=stable)
     return pos.withColumn(label, F.floor(F.col("pos") * k / F.col("n")).cast("int")).drop("pos", "n")

@@ -41,9 +41,10 @@ def score(df: DataFrame, labels: DataFrame, feats: Sequence[str], key: str, mode
     """One metrics row for a labelling: silhouette, CH, DB, inertia (K-Means
     only, as in the reference), each over all rows."""
     rows = df.select(key, *feats).join(labels, key)
+    table = Me.label_table(rows, feats)
     out = Me.silhouette(rows, feats, key=key) \
-        .crossJoin(Me.calinski_harabasz(rows, feats)).crossJoin(Me.davies_bouldin(rows, feats))
-    inertia = Me.inertia(rows, feats) if with_inertia else \
+        .crossJoin(Me.calinski_harabasz(rows, feats, table=table)).crossJoin(Me.davies_bouldin(rows, feats, table=table))
+    inertia = Me.inertia(rows, feats, table=table) if with_inertia else \
         df.sparkSession.createDataFrame([(None,)], "inertia double")
     return out.crossJoin(inertia).withColumn("model", F.lit(model)) \
         .select("model", "silhouette", "calinski_harabasz", "davies_bouldin", "inertia")

@@ -193,9 +193,10 @@ def _metric_long(spark, sf_dir):
     z = V.scaled_customers(spark, sf_dir, materialise=True)
     out = None
     for name, order in LABELLINGS.items():
-        lab = rank_labels(z, 4, [c.strip() for c in order.split(",")])
-        row = Me.calinski_harabasz(lab, FEATS).crossJoin(Me.davies_bouldin(lab, FEATS)) \
-            .crossJoin(Me.inertia(lab, FEATS)).withColumn("model", F.lit(name))
+        lab = rank_labels(z, 4, [c.strip() for c in order.split(",")], stable=False).select("cluster", *FEATS).checkpoint(eager=True)
+        table = Me.label_table(lab, FEATS)
+        row = Me.calinski_harabasz(lab, FEATS, table=table).crossJoin(Me.davies_bouldin(lab, FEATS, table=table)) \
+            .crossJoin(Me.inertia(lab, FEATS, table=table)).withColumn("model", F.lit(name))
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -41,3 +41,17 @@ def test_customer_features_of_the_latest_line(spark):
     assert got["recency_days"].to_dict() == (lines["invoice_date"].max() - last).dt.days.to_dict()
     assert got["n_products"].to_dict() == lines.groupby("customer_id")["stock_code"].nunique().to_dict()
     assert (got["n_lines"] == 20).all()
+
+
+def test_metrics_query_makes_one_label_table_per_labelling(spark, monkeypatch):
+    from mercato.operators.cluster import metrics as Me
+    from mercato.operators.cluster.profile import rank_labels
+    tables, real = [], Me.label_table
+    monkeypatch.setattr(Me, "label_table", lambda *a, **k: tables.append(1) or real(*a, **k))
+    out = _one_pass(spark, monkeypatch, CS.g15_metrics_table).set_index("model")
+    assert len(tables) == 3
+    for name, order in CS.LABELLINGS.items():
+        lab = rank_labels(V.scaled_customers(spark, "nowhere", materialise=True), 4, order.split(", "))
+        assert out.loc[name, "inertia"] == pytest.approx(Me.inertia(lab, CS.FEATS).first()[0], abs=1e-3)
+        assert out.loc[name, "davies_bouldin"] == pytest.approx(Me.davies_bouldin(lab, CS.FEATS).first()[0], abs=1e-5)
+        assert out.loc[name, "calinski_harabasz"] == pytest.approx(Me.calinski_harabasz(lab, CS.FEATS).first()[0], abs=1e-5)

@@ -85,8 +85,8 @@ SELECT cluster, feature, count(value) AS n, round(avg(value), 6) AS mean,
 FROM long GROUP BY cluster, feature
 """, *LABELLED_SQL))
 def a14_cluster_stats(spark, sf_dir):
-    lab = labelled(spark, sf_dir).select("customer_id", "cluster")
-    raw = V.customers(spark, sf_dir).join(lab, "customer_id")
+    both = Sc.scale(V.customers(spark, sf_dir), FEATS, suffix="_z")  # the customers are made once, raw and scaled side by side
+    raw = rank_labels(both, 4, ["total_spent_z", "customer_id"]).select("cluster", *FEATS).checkpoint(eager=True)
     return _round(cluster_stats(raw, FEATS), ["mean", "median", "std"])
 
 

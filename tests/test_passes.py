@@ -55,3 +55,13 @@ def test_metrics_query_makes_one_label_table_per_labelling(spark, monkeypatch):
         assert out.loc[name, "inertia"] == pytest.approx(Me.inertia(lab, CS.FEATS).first()[0], abs=1e-3)
         assert out.loc[name, "davies_bouldin"] == pytest.approx(Me.davies_bouldin(lab, CS.FEATS).first()[0], abs=1e-5)
         assert out.loc[name, "calinski_harabasz"] == pytest.approx(Me.calinski_harabasz(lab, CS.FEATS).first()[0], abs=1e-5)
+
+
+def test_cluster_stats_query_makes_the_customers_once(spark, monkeypatch):
+    out = _one_pass(spark, monkeypatch, CS.a14_cluster_stats)
+    raw = V.customers(spark, "nowhere").toPandas().sort_values(["total_spent", "customer_id"])
+    raw["cluster"] = np.arange(30) * 4 // 30
+    for r in out.itertuples():
+        x = raw.loc[raw["cluster"] == r.cluster, r.feature].astype(float)
+        assert (r.n, r.mean, r.median, r.std) == pytest.approx((len(x), x.mean(), x.median(), x.std()), abs=1e-5)
+    assert len(out) == 20

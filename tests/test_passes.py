@@ -65,3 +65,8 @@ def test_cluster_stats_query_makes_the_customers_once(spark, monkeypatch):
         x = raw.loc[raw["cluster"] == r.cluster, r.feature].astype(float)
         assert (r.n, r.mean, r.median, r.std) == pytest.approx((len(x), x.mean(), x.median(), x.std()), abs=1e-5)
     assert len(out) == 20
+
+
+def test_elbow_query_makes_the_lines_once(spark, monkeypatch):
+    out = _one_pass(spark, monkeypatch, CS.g10_elbow)
+    assert out["k"].tolist() == list(range(1, 11)) and out["inertia"].iloc[0] > out["inertia"].iloc[-1]

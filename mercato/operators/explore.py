@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType, NumericType
 
 from .rank import quantile_sketch, quantile_table
 
@@ -58,29 +58,57 @@ def numeric_to_double(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in num else F.col(c) for c in df.columns])
 
 
+def distinct_values(df: DataFrame) -> DataFrame:
+    """``(column, distinct)``: how many different values, told apart as text, each column holds; no row for one without values.
+
+    One pass and one shuffle of the different values. Numbers are compared as numbers, which are as many as
+    their texts but for -0.0, which is set apart; all other types are compared as text."""
+    long, double, text = (F.lit(None).cast(t) for t in ("long", "double", "string"))
+    cells = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f.name)
+        if isinstance(f.dataType, IntegralType):
+            cells += [F.lit(i), c.cast("long"), double, text]
+        elif isinstance(f.dataType, (DoubleType, FloatType)):
+            v = c.cast("double")
+            minus = (v == 0) & (v.cast("string") == "-0.0")
+            cells += [F.lit(i), long, F.when(~minus, v), F.when(minus, F.lit("-0.0"))]
+        else:
+            cells += [F.lit(i), long, double, c.cast("string")]
+    each = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("_i", "_l", "_d", "_s")) \
+        .where("_l IS NOT NULL OR _d IS NOT NULL OR _s IS NOT NULL").distinct()
+    return each.groupBy("_i").agg(F.count(F.lit(1)).alias("distinct")) \
+        .select(F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("_i") + 1).alias("column"), "distinct")
+
+
 def profile(df: DataFrame, top: int = 3) -> DataFrame:
     """Per column: count, missing, distinct, zeros, negatives, mean, std, min,
     max, quartiles (numeric), and the ``top`` most frequent values (E4).
 
+    Three passes: counts, moments and quantile brackets in one wide aggregate,
+    the values inside the brackets, and the distinct values. No rows, no columns:
+    an empty table gives an empty profile.
+
     Duplicate-row count is a separate one-row result: ``duplicate_rows``.
     """
-    num = numeric_columns(df)
+    num, probs = numeric_columns(df), [0.25, 0.5, 0.75]
+    x = {c: F.col(c).cast("double") for c in num}
+    stats = {"zeros": lambda v: F.sum((v == 0).cast("long")), "negatives": lambda v: F.sum((v < 0).cast("long")),
+             "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    aggs = [F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_count{i}") for i, c in enumerate(df.columns)],
+            *[f(x[c]).alias(f"_{k}{i}") for i, c in enumerate(df.columns) if c in num for k, f in stats.items()]]
+    wide = quantile_sketch(df, num, probs, extra=aggs) if num else df.agg(*aggs)
+    none = {k: F.lit(None).cast("long" if k in ("zeros", "negatives") else "double") for k in stats}
+    out = wide.where("_rows > 0").select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col("_rows").alias("n_rows"), F.col(f"_count{i}").alias("count"),
+        (F.col("_rows") - F.col(f"_count{i}")).alias("missing"),
+        *[(F.col(f"_{k}{i}") if c in num else none[k]).alias(k) for k in stats if num]) for i, c in enumerate(df.columns)])))
+    out = out.join(distinct_values(df), "column", "left").select(
+        "column", "n_rows", "count", "missing", F.coalesce("distinct", F.lit(0)).alias("distinct"), *[k for k in stats if num])
+    if num:
+        out = out.join(quantile_table(df, num, probs, names=["p25", "p50", "p75"], sketch=wide), "column", "left")
     strs = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     long = strs.unpivot([], df.columns, "column", "value")
-    base = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("count"),
-        F.sum(F.col("value").isNull().cast("long")).alias("missing"),
-        F.countDistinct("value").alias("distinct"))
-    out = base
-    if num:
-        nl = df.select(*[F.col(c).cast("double").alias(c) for c in num]).unpivot([], num, "column", "x")
-        stats = nl.groupBy("column").agg(
-            F.sum((F.col("x") == 0).cast("long")).alias("zeros"),
-            F.sum((F.col("x") < 0).cast("long")).alias("negatives"),
-            F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-            F.min("x").alias("min"), F.max("x").alias("max"))
-        qs = quantile_table(df, num, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
-        out = out.join(stats, "column", "left").join(qs, "column", "left")
     freq = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
     w = Window.partitionBy("column").orderBy(F.desc("_f"), F.asc("value"))
     tops = freq.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top) \

@@ -70,3 +70,34 @@ def test_cluster_stats_query_makes_the_customers_once(spark, monkeypatch):
 def test_elbow_query_makes_the_lines_once(spark, monkeypatch):
     out = _one_pass(spark, monkeypatch, CS.g10_elbow)
     assert out["k"].tolist() == list(range(1, 11)) and out["inertia"].iloc[0] > out["inertia"].iloc[-1]
+
+
+def test_profile_reads_each_row_three_times(spark):
+    """One pass for counts, moments and brackets, one for the quantiles, one for the distinct values."""
+    from mercato.operators import explore as E
+    seen = spark.sparkContext.accumulator(0)
+    made = F.udf(lambda i: seen.add(1) or i, "long")
+    df = spark.range(500, numPartitions=2).select(made("id").alias("n")).selectExpr("n", "n % 3 AS m", "string(n % 4) AS s")
+    got = {r["column"]: r for r in E.profile(df).drop("top_values").collect()}
+    assert seen.value == 1500
+    assert [got[c]["distinct"] for c in "nms"] == [500, 3, 4] and got["n"]["p50"] == 249.5
+
+
+def test_profile_of_odd_values(spark):
+    """Values are told apart as text: -0.0 is not 0.0; empty columns and tables keep their form."""
+    from mercato.operators import explore as E
+    rows = [(0.0, 1, None, True, "a"), (-0.0, 1, None, None, "1"), (2.5, None, None, False, "1.0"), (2.5, 0, None, True, None),
+            (1.0, -3, None, True, "a"), (None, 1, None, True, "A")]
+    df = spark.createDataFrame(rows, "d double, l int, e double, b boolean, s string")
+    got = {r["column"]: r for r in E.profile(df).collect()}
+    assert {c: got[c]["distinct"] for c in got} == {"d": 4, "l": 3, "e": 0, "b": 2, "s": 4}
+    assert {c: (got[c]["n_rows"], got[c]["count"], got[c]["missing"]) for c in got} \
+        == {"d": (6, 5, 1), "l": (6, 5, 1), "e": (6, 0, 6), "b": (6, 5, 1), "s": (6, 5, 1)}
+    assert (got["d"]["zeros"], got["l"]["zeros"], got["l"]["negatives"], got["e"]["zeros"], got["s"]["zeros"]) == (2, 1, 1, None, None)
+    assert got["l"]["mean"] == 0.0 and got["l"]["p50"] == 1.0 and got["e"]["p50"] is None and got["d"]["mean"] == 1.2
+    assert got["s"]["top_values"][0] == "a" and got["e"]["top_values"] is None
+    assert E.profile(df.limit(0)).count() == 0
+    nans = spark.createDataFrame([(float("nan"),), (float("nan"),), (float("-inf"),), (None,)], "x float")
+    assert E.distinct_values(nans).first()["distinct"] == 2
+    plain = {r["column"]: r["distinct"] for r in E.profile(df.select("s", "b")).collect()}
+    assert plain == {"s": 4, "b": 2}

@@ -17,7 +17,7 @@ def product_column(df: DataFrame) -> str:
 
 
 def customer_features(df: DataFrame, key: str = "customer_id", ts: str = "invoice_date",
-                      amount: str = "sales") -> DataFrame:
+                      amount: str = "sales", written: bool = False) -> DataFrame:
     """n_lines, total_spent, recency_days, n_products, avg_ticket per customer (A10).
 
     One aggregation keyed on the customer; ``countDistinct`` makes Catalyst
@@ -25,11 +25,10 @@ def customer_features(df: DataFrame, key: str = "customer_id", ts: str = "invoic
     lines is still spread over many tasks in the first stage and arrives
     pre-combined in the second. Recency is measured against the latest line
     of the whole table, which equals the latest of the per-customer maxima:
-    that one-row frame is taken from the aggregated rows and broadcast. They
-    are written once (reliable checkpoint); without it column pruning makes
-    the two plans differ, no exchange is reused and the lines are joined twice.
+    that one-row frame is taken from the aggregated rows and broadcast. With
+    ``written`` they are written once (reliable checkpoint); in one lazy plan
+    column pruning makes the two reads differ, and the lines are joined twice.
     """
-    checkpoint_dir(df.sparkSession)
     prod = product_column(df)
     lines = df.where(F.col(key).isNotNull())
     per = lines.groupBy(key).agg(
@@ -37,7 +36,10 @@ def customer_features(df: DataFrame, key: str = "customer_id", ts: str = "invoic
         F.sum(amount).alias("_total"),
         F.max(ts).alias("_last"),
         F.countDistinct(prod).alias("n_products"),
-    ).checkpoint(eager=True)
+    )
+    if written:
+        checkpoint_dir(df.sparkSession)
+        per = per.checkpoint(eager=True)
     ref = per.agg(F.max("_last").alias("_ref"))
     out = per.crossJoin(F.broadcast(ref))
     total = F.col("_total").cast("double")

@@ -98,7 +98,7 @@ def rank_label_sql(src: str, order: str, k: int = 4, out: str = "labelled") -> s
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.customers import customer_features
-    return customer_features(clean_customers(spark, sf_dir))
+    return customer_features(clean_customers(spark, sf_dir), written=True)
 
 
 def scaled_customers(spark: SparkSession, sf_dir: str, method: str = "standard", materialise: bool = False) -> DataFrame:

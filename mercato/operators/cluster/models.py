@@ -7,13 +7,15 @@ mean, since the raw numbers of any clusterer are arbitrary.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 
 def assemble(df: DataFrame, feats: Sequence[str], out: str = "features") -> DataFrame:
@@ -37,6 +39,10 @@ def relabel(df: DataFrame, label: str = "cluster", by_mean_of: str = "total_spen
     return out.withColumn(label, F.coalesce(F.col("_new"), F.col(label)).cast("int")).drop("_old", "_new")
 
 
+def _kmeans(k: int, seed: int, label: str = "cluster", max_iter: int = 20, init_steps: int = 2) -> KMeans:
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol=label, maxIter=max_iter, initSteps=init_steps)
+
+
 def kmeans(df: DataFrame, feats: Sequence[str], k: int = 4, seed: int = 42, label: str = "cluster",
            max_iter: int = 20, init_steps: int = 2):
     """K-Means (G1): returns ``(labelled rows, model)``.
@@ -46,11 +52,31 @@ def kmeans(df: DataFrame, feats: Sequence[str], k: int = 4, seed: int = 42, labe
     is the inertia.
     """
     data = assemble(df, feats)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=label,
-                   maxIter=max_iter, initSteps=init_steps).fit(data)
+    model = _kmeans(k, seed, label, max_iter, init_steps).fit(data)
     return model.transform(data).drop("features"), model
 
 
+def kmeans_costs(df: DataFrame, feats: Sequence[str], ks: Iterable[int], seed: int = 42, parallelism: int = 3) -> dict[int, float]:
+    """Inertia of one K-Means fit (G1) for each k >= 2, by k.
+
+    The vectors are assembled and kept once; every fit reads them three times (form of the data, training, cluster sizes).
+    The fits do not depend on each other, so ``parallelism`` of them run side by side, those with most centres first: one
+    fit is a chain of short jobs that leaves cores idle.
+    """
+    data = assemble(df, feats).select("features").persist()
+    # A frame that is itself persisted is decoded by Spark's K-Means in every iteration; from one read off it, each fit keeps its own vectors.
+    read = data.where(F.col("features").isNotNull())
+
+    def cost(k: int) -> tuple[int, float]:
+        return k, float(_kmeans(k, seed).fit(read).summary.trainingCost)
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            return dict(pool.map(inheritable_thread_target(df.sparkSession)(cost), sorted(ks, reverse=True), chunksize=1))
+    finally:
+        data.unpersist()
+
+
 def gmm(df: DataFrame, feats: Sequence[str], k: int = 4, seed: int = 42, label: str = "cluster",
         max_iter: int = 100):
     """Gaussian mixture (G4): hard labels = most probable component."""

@@ -172,16 +172,13 @@ def g12_pca_projection(spark, sf_dir):
 
 @register("g10_elbow", "G10")
 def g10_elbow(spark, sf_dir):
-    z = V.scaled_customers(spark, sf_dir, materialise=True)
-    rows = []
-    for k in range(1, 11):
-        if k == 1:
-            val = Me.inertia(z.withColumn("cluster", F.lit(0)), FEATS).first()["inertia"]
-        else:
-            _, model = M.kmeans(z, FEATS, k=k, seed=42)
-            val = model.summary.trainingCost
-        rows.append((k, float(val)))
-    return spark.createDataFrame(rows, "k int, inertia double")
+    z = V.scaled_customers(spark, sf_dir).select(*FEATS).persist()  # from the written customers, scaled once
+    try:
+        total = Me.inertia(z.withColumn("cluster", F.lit(0)), FEATS).first()["inertia"]
+        costs = {1: float(total), **M.kmeans_costs(z, FEATS, range(2, 11), seed=42)}
+    finally:
+        z.unpersist()
+    return spark.createDataFrame(sorted(costs.items()), "k int, inertia double")
 
 
 # -- metric tables over several labellings (SQL-checkable) --------------------

@@ -72,6 +72,20 @@ def test_elbow_query_makes_the_lines_once(spark, monkeypatch):
     assert out["k"].tolist() == list(range(1, 11)) and out["inertia"].iloc[0] > out["inertia"].iloc[-1]
 
 
+def test_elbow_query_assembles_the_vectors_once(spark, monkeypatch):
+    """Nine fits share one set of vectors; side by side they find what each finds alone, and nothing stays in memory."""
+    from mercato.operators.cluster import models as M
+    calls, real = [], M.assemble
+    monkeypatch.setattr(M, "assemble", lambda *a, **k: calls.append(1) or real(*a, **k))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    out = _one_pass(spark, monkeypatch, CS.g10_elbow).set_index("k")["inertia"]
+    assert len(calls) == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    z = V.scaled_customers(spark, "nowhere", materialise=True)
+    assert out[1] == pytest.approx(30 * sum(z.toPandas()[f].var(ddof=0) for f in CS.FEATS))
+    for k in (2, 5, 10):
+        assert out[k] == pytest.approx(M.kmeans(z, CS.FEATS, k=k, seed=42)[1].summary.trainingCost)
+
+
 def test_profile_reads_each_row_three_times(spark):
     """One pass for counts, moments and brackets, one for the quantiles, one for the distinct values."""
     from mercato.operators import explore as E
